@@ -9,6 +9,7 @@ from tagloom.llm.bpe import token_ids
 from tagloom.llm.copies import copies, copy_groups
 from tagloom.llm.groups import tag_groups
 from tagloom.llm.leakage import leaked, matches
+from tagloom.llm.mojibake import garbled_fields
 from tagloom.llm.residue import residue_pages
 from tagloom.llm.survivor import claims, fuse, survivors
 from tagloom.tables import load
@@ -34,6 +35,16 @@ def p3_fused(spark: SparkSession, d: str) -> DataFrame:
     return fuse(claims(load(spark, d, "tags"), load(spark, d, "tag_status"), "tag"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Fields whose text was decoded wrongly."""
+    return garbled_fields(load(spark, d, "tags"), load(spark, d, "tag_aliases")).select("table_name", "field_name", "row_id")
+
+
+def p6_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The original text of garbled fields, where one can be had, and the swap that explains it."""
+    return garbled_fields(load(spark, d, "tags"), load(spark, d, "tag_aliases")).where("restored is not null").select("table_name", "field_name", "row_id", "swap", "restored")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """The group of every linked tag."""
     return tag_groups(load(spark, d, "tags"), load(spark, d, "tag_status"), load(spark, d, "tag_aliases"))
@@ -69,6 +80,8 @@ QUERIES = {
     "p2_groups": p2_groups,
     "p3_found": p3_found,
     "p3_fused": p3_fused,
+    "p6_found": p6_found,
+    "p6_restored": p6_restored,
     "p7_found": p7_found,
     "p7_sizes": p7_sizes,
     "p8_ids": p8_ids,
