@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,11 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     """``node, component``: every node of ``links`` (``a, b``, longs) with the smallest node it is linked to.
 
     The giant component goes first: breadth-first search from the node of
-    highest degree, one join a step of the frontier with the links, and the
-    nodes reached leave the link table. The rest is labelled by propagating the
-    minimum over the links, with a shortcut to the label's own label each round,
-    so a chain of n links takes about log n rounds. Both ends of a
+    highest degree, one join a step of the frontier with the links, while the
+    layers grow. The nodes reached leave the link table and stand as one node
+    in it, for what still hangs on them. The rest is labelled by propagating
+    the minimum over the links, with a shortcut to the label's own label each
+    round, so a chain of n links takes about log n rounds. Both ends of a
     link are held, so either may be hot: a step keeps the minimum a node, which
     is aggregated before it is shuffled, and a frontier of few rows is broadcast
     after a count. Every table between rounds is written to the shared folder.
@@ -40,30 +43,29 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     hub = edges.groupBy("a").agg(F.count("*").alias("n")).agg(F.max_by("a", F.struct("n", (-F.col("a")).alias("i"))).alias("a")).first()["a"]
     if hub is None:
         return nodes.select("node", F.col("node").alias("component"))
-    seen = scratch.put(spark.range(1).select(F.lit(hub).cast("long").alias("node")))
-    frontier, n_frontier = seen, 1
-    layers = [seen]
-    rest = edges
+    # Peel: search breadth-first as long as layers grow; what hangs on the last ones is left to the propagation.
+    frontier, n_frontier = spark.range(1).select(F.lit(hub).cast("long").alias("node")), 1
+    layers = [frontier]
     for _ in range(rounds):
-        # links into nodes reached are of no more use, so the table shrinks with the search
         step = _small(frontier.select(F.col("node").alias("a")), n_frontier)
-        reached = rest.join(step, "a", "left_semi").select(F.col("b").alias("node")).distinct()
-        known = layers[-2:]  # a neighbour is in this layer, the last or the next
-        for layer in known:
-            reached = reached.join(layer, "node", "left_anti")
-        frontier = scratch.put(reached)
-        n_frontier = frontier.count()
-        if not n_frontier:
-            break
+        reached = edges.join(step, "a", "left_semi").select(F.col("b").alias("node")).distinct()
+        # a neighbour is in the layer before, in this one or in the next
+        known = layers[-1] if len(layers) == 1 else layers[-1].unionByName(layers[-2])
+        frontier = scratch.put(reached.join(known, "node", "left_anti"))
+        before, n_frontier = n_frontier, frontier.count()
         layers.append(frontier)
-    giant = layers[0]
-    for layer in layers[1:]:
-        giant = giant.unionByName(layer)
-    giant = scratch.put(giant)
-    giant_labels = giant.withColumn("component", F.lit(giant.agg(F.min("node")).first()[0]))
+        if n_frontier <= before:
+            break
+    giant = scratch.put(reduce(DataFrame.unionByName, layers))
+    low = giant.agg(F.min("node")).first()[0]
 
-    small = scratch.put(rest.join(giant.select(F.col("node").alias("a")), "a", "left_anti"))
-    scratch.drop(edges, *layers)
+    # The peeled nodes stand as one from here on: links within them are gone, links out of them start at that one.
+    inside = giant.select(F.col("node").alias("a"), F.lit(low).alias("_a"))
+    outer = edges.join(inside, "a", "left").where("_a is null").select("a", "b").join(inside.toDF("b", "_b"), "b", "left").select("a", F.coalesce("_b", "b").alias("b"))
+    outer = scratch.put(outer.distinct())
+    hung = outer.where(F.col("b") == low).select(F.col("b").alias("a"), F.col("a").alias("b"))
+    small = scratch.put(outer.unionByName(hung))
+    scratch.drop(edges, outer, *layers)
     # the first label is the smallest of a node and its neighbours: a partial aggregation, no join
     labels = scratch.put(small.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).select(F.col("a").alias("node"), "component"))
     for _ in range(rounds):
@@ -80,7 +82,9 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
             break
     else:
         raise RuntimeError(f"labels still change after {rounds} rounds")
-    labelled = giant_labels.unionByName(labels.select("node", "component"))
+    found = labels.where(F.col("node") == low).agg(F.min("component")).first()[0]
+    giant_labels = giant.select("node", F.lit(low if found is None else found).alias("component"))
+    labelled = giant_labels.unionByName(labels.where(F.col("node") != low).select("node", "component"))
     lone = alone.join(labelled, "node", "left_anti").distinct()
     return labelled.unionByName(lone.select("node", F.col("node").alias("component")))
 
