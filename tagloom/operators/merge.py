@@ -79,5 +79,5 @@ def max_merge(state: DataFrame, changes: DataFrame, key: list[str], value: str)
 
 def fold_duplicates(rows: DataFrame, key: list[str], order: list[str], attributes: list[str]) -> DataFrame:
     """One status row a key: the first canonical one, else the alias with the smallest target, the earliest on ties."""
-    rank = F.struct(F.col("alias"), F.when(F.col("alias") == 1, F.col("preferred_tag_id")).otherwise(F.lit(0)).alias("_p"), *order, *attributes)
+    rank = F.struct(F.col("alias").alias("_a"), F.when(F.col("alias") == 1, F.col("preferred_tag_id")).otherwise(F.lit(0)).alias("_p"), *dict.fromkeys([*order, *attributes]))
     return rows.groupBy(*key).agg(F.min(rank).alias("_b")).select(*key, *(F.col(f"_b.{c}").alias(c) for c in attributes))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import canonicalize_source_tag, normalize_tag, split_list
+from tagloom.functions.text import canonicalize_source_tag, has_name, normalize_tag, split_list
 from tagloom.operators.ids import dense_ids, next_id
 from tagloom.tables import broadcast_if_small
 
@@ -16,7 +16,7 @@ def source_names(rows: DataFrame, source: str = "source_tag", packed: str = "dep
     """Every canonical and alias name of the rows, distinct, in stored form. Blank names are left out."""
     own = rows.select(F.col(source).alias("name"))
     alias = rows.select(F.explode(split_list(F.col(packed))).alias("name"))
-    return own.unionByName(alias).select(canonicalize_source_tag(F.col("name")).alias("source_tag")).where("source_tag <> ''").distinct()
+    return own.unionByName(alias).where(has_name(F.col("name"))).select(canonicalize_source_tag(F.col("name")).alias("source_tag")).distinct()
 
 
 def register(tags: DataFrame, rows: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def register(tags: DataFrame, rows: DataFrame) -> DataFrame:
     Of several source forms of one tag the smallest is kept. Null and blank
     names give nothing; an empty ``tags`` starts at 1.
     """
-    new = source_names(rows).withColumn("tag", normalize_tag(F.col("source_tag"))).where("tag <> ''").groupBy("tag").agg(F.min("source_tag").alias("source_tag"))
+    new = source_names(rows).withColumn("tag", normalize_tag(F.col("source_tag"))).groupBy("tag").agg(F.min("source_tag").alias("source_tag"))
     new = new.join(tags.select("tag").where("tag is not null"), "tag", "left_anti")
     return dense_ids(new, [F.col("tag")], "tag_id", next_id(tags, "tag_id")).select("tag_id", "source_tag", "tag")
 
