@@ -33,7 +33,7 @@ def split_packed(c: Column) -> Column:
     """
     text = F.replace(F.coalesce(c, F.lit("")), F.lit(MARK), F.lit(MARK + "x"))
     held = F.array_join(
-        F.transform(F.split(text, QUOTED), lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lit(f"\n{MARK}"), (i - 1).cast("string"), F.lit("q"), x))),
+        F.transform(F.split(text, QUOTED), lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lit(f";{MARK}"), (i - 1).cast("string"), F.lit("q"), x))),
         "",
     )
     parts = F.struct(F.regexp_extract_all(text, F.lit(QUOTED), 2).alias("spans"), F.transform(F.split(held, DELIMITER), strip).alias("pieces"))

@@ -1,16 +1,17 @@
 """Raw CSV records: valid ones load, the others come out with the reason for failure.
 
-Every record that is not plainly clean goes through a minimum-cost parse. A
-dynamic program walks the characters of a batch of records at once and may
-insert or delete quotes and delimiters; a record that needs no edit is well
-formed, and for the others the edits of the cheapest parse state the reason.
-Quote edits weigh more than any number of delimiter edits, so a record whose
-quoting holds is never explained by a quote edit. A delimiter set beside a
-quote is a quote edit, for it serves to legalise the quote.
+A record that is not plainly clean goes through a minimum-cost parse: a dynamic
+program over the places in a field (start, plain, quoted, closed) that may
+insert or delete quotes, or set a delimiter beside a quote to legalise it. The
+steps are min-plus matrices, one a character, and their product is formed
+pairwise for a batch of records at once. A record whose cheapest parse has such
+an edit fails for its quoting; one without is well formed, and the delimiters
+to be deleted or appended are those its number of fields lacks or exceeds.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,70 +24,60 @@ from tagloom.functions.text import WHITE
 from tagloom.tables import broadcast_if_small
 
 NUMBERS = ("type_id", "count", "format_id")
-#: Cost of a quote edit, above that of all delimiter edits of a record.
-QUOTE_COST = 1 << 40
 START, PLAIN, QUOTED, CLOSED = range(4)
-FAR = np.int64(1) << 60
-#: Characters of a batch's padded matrix, which bounds a worker's memory.
-CELLS = 4_000_000
-
-
-def edit_costs(records: list[str], widths: np.ndarray) -> np.ndarray:
-    """Cost of the cheapest parse of each record: ``quote_edits * QUOTE_COST + delimiter_edits``.
-
-    State: place in a field (start, plain, quoted, closed). Costs are minimal
-    over all edits; the number of delimiters is carried beside the state of
-    least quote cost, since delimiter edits can be had at any place for one
-    each: too many are deleted, missing ones are appended.
-    """
-    n = len(records)
-    if not n:
+OTHER, COMMA, QUOTE, END = range(4)
+FAR = np.int32(1 << 28)
+#: Characters of a batch whose matrices are held at once, which bounds a worker's memory.
+CELLS = 400_000
+_FIELD = r'(?:"[^"]*(?:""[^"]*)*"|[^",]*)'
+STRICT = re.compile(f"{_FIELD}(?:,{_FIELD})*")
+
+#: Steps without an edit, and those that cost one or two: (kind of character, from, to, edits).
+STEPS = (
+    *((COMMA, s, START, 0) for s in (START, PLAIN, CLOSED)),
+    (COMMA, QUOTED, QUOTED, 0),
+    (OTHER, START, PLAIN, 0),
+    (OTHER, PLAIN, PLAIN, 0),
+    (OTHER, QUOTED, QUOTED, 0),
+    (QUOTE, START, QUOTED, 0),
+    (QUOTE, QUOTED, CLOSED, 0),
+    (QUOTE, CLOSED, QUOTED, 0),  # a doubled quote
+    *((QUOTE, s, s, 1) for s in range(4)),  # the quote is deleted
+    (QUOTE, PLAIN, QUOTED, 1),  # a delimiter set before it
+    (OTHER, CLOSED, PLAIN, 1),  # a delimiter set after the closing quote
+    *((k, CLOSED, QUOTED, 2) for k in (OTHER, COMMA)),  # the closing quote deleted, or doubled
+    (COMMA, QUOTED, START, 1),  # a closing quote set
+    *((k, START, QUOTED, 1) for k in (OTHER, COMMA)),  # an opening quote set
+    *((END, s, s, 0) for s in range(4)),
+)
+MATRICES = np.full((4, 4, 4), FAR, np.int32)
+for _kind, _from, _to, _edits in STEPS:
+    MATRICES[_kind, _from, _to] = min(MATRICES[_kind, _from, _to], _edits)
+
+
+def quote_edits(records: list[str]) -> np.ndarray:
+    """Edits of the cheapest parse of each record, 0 where it is well formed."""
+    if not records:
         return np.zeros(0, np.int64)
     rows = []
     for r in records:
         codes = np.frombuffer(r.encode("utf-32-le", "surrogatepass"), "<u4")
-        kind = ((codes == 44) + 2 * (codes == 34)).astype(np.int8)  # 0 other, 1 comma, 2 quote, 3 past the end
-        rows.append(kind[(kind != 0) | (np.roll(kind, 1) != 0) | (np.arange(len(kind)) == 0)])  # a run of others moves no state but once
-    kinds = np.full((max(map(len, rows)), n), 3, np.int8)
+        kind = (codes == 44) * COMMA + (codes == 34) * QUOTE
+        rows.append(kind[(kind != OTHER) | (np.roll(kind, 1) != OTHER) | (np.arange(len(kind)) == 0)])  # further others move no state
+    longest = max(1, *map(len, rows))
+    kinds = np.full((len(rows), 1 << (longest - 1).bit_length()), END, np.int8)
     for i, kind in enumerate(rows):
-        kinds[: len(kind), i] = kind
-    # cost of quote edits and, beside it, the fields so far along that parse
-    cost = np.full((4, n), FAR)
-    fields = np.ones((4, n), np.int64)
-    cost[START] = 0
-    for kind in kinds:
-        comma, quote, other, end = kind == 1, kind == 2, kind == 0, kind == 3
-        new, count = np.full((4, n), FAR), np.ones((4, n), np.int64)
-
-        def step(src: int, dst: int, where: np.ndarray, extra: int, delimiters: int, cost=cost, fields=fields, new=new, count=count, width=widths) -> None:
-            c = np.where(where, cost[src] + extra, FAR)
-            f = fields[src] + delimiters
-            better = (c < new[dst]) | ((c == new[dst]) & (c < FAR) & (np.abs(f - width) < np.abs(count[dst] - width)))
-            new[dst] = np.where(better, c, new[dst])
-            count[dst] = np.where(better, f, count[dst])
-
-        q = QUOTE_COST
-        for src in (START, PLAIN, CLOSED):
-            step(src, START, comma, 0, 1)
-        step(QUOTED, QUOTED, comma | other, 0, 0)
-        step(START, PLAIN, other, 0, 0)
-        step(PLAIN, PLAIN, other, 0, 0)
-        step(START, QUOTED, quote, 0, 0)
-        step(QUOTED, CLOSED, quote, 0, 0)
-        step(CLOSED, QUOTED, quote, 0, 0)  # a doubled quote
-        for src in (START, PLAIN, QUOTED, CLOSED):  # the quote is deleted
-            step(src, src, quote, q, 0)
-        step(PLAIN, QUOTED, quote, q, 1)  # a delimiter set before the quote
-        step(CLOSED, PLAIN, other, q, 1)  # a delimiter set after the closing quote
-        step(CLOSED, QUOTED, other | comma, 2 * q, 0)  # the closing quote doubled, that is, a quote inserted and one kept
-        step(QUOTED, START, comma, q, 1)  # a closing quote set before the delimiter
-        step(START, QUOTED, comma | other, q, 0)  # an opening quote set
-        for s in range(4):
-            step(s, s, end, 0, 0)
-        cost, fields = new, count
-    cost[QUOTED] = np.where(cost[QUOTED] < FAR, cost[QUOTED] + QUOTE_COST, FAR)  # closed at the end
-    total = cost + np.abs(fields - widths) * (cost < FAR)
-    return total.min(axis=0)
+        kinds[i, : len(kind)] = kind
+    m = MATRICES[kinds]
+    while m.shape[1] > 1:
+        a, b = m[:, 0::2], m[:, 1::2]
+        out = a[..., :, 0, None] + b[..., 0, None, :]
+        for k in range(1, 4):
+            np.minimum(out, a[..., :, k, None] + b[..., k, None, :], out=out)
+        m = np.minimum(out, FAR)
+    ends = m[:, 0, START].astype(np.int64)
+    ends[:, QUOTED] += 1  # closed at the end
+    return ends.min(axis=1)
 
 
 def split_record(record: str) -> list[str]:
@@ -123,15 +114,18 @@ def minimum_cost_parse(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterat
     """Edits and, where no quote edit is needed, the fields of each record. Arguments: record, width (0: unknown)."""
     for records, widths in batches:
         texts, width = records.fillna("").tolist(), widths.fillna(0).to_numpy(np.int64)
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        left, costs = np.argsort(lengths, kind="stable"), np.zeros(len(texts), np.int64)
-        while len(left):  # the longest first, as many together as the bound on the matrix allows
-            chunk = left[-max(1, CELLS // max(1, int(lengths[left[-1]]))) :]
-            costs[chunk] = edit_costs([texts[i] for i in chunk], width[chunk])
+        edits = np.zeros(len(texts), np.int64)
+        # a record that the strict grammar takes has a parse without edits
+        lengths = np.array([0 if STRICT.fullmatch(t) else len(t) for t in texts])
+        left = np.argsort(lengths, kind="stable")
+        left = left[lengths[left] > 0]
+        while len(left):  # the longest first, as many together as the bound on the matrices allows
+            chunk = left[-max(1, CELLS // int(lengths[left[-1]])) :]
+            edits[chunk] = quote_edits([texts[i] for i in chunk])
             left = left[: -len(chunk)]
-        quote, delimiter = costs // QUOTE_COST, costs % QUOTE_COST
-        fields = [split_record(t) if q == 0 else None for t, q in zip(texts, quote)]
-        yield pd.DataFrame({"quote_edits": quote, "delimiter_edits": np.where(width > 0, delimiter, 0), "fields": fields})
+        fields = [split_record(t) if e == 0 else None for t, e in zip(texts, edits)]
+        sizes = np.array([len(f) if f else 0 for f in fields], np.int64)
+        yield pd.DataFrame({"quote_edits": edits, "delimiter_edits": np.where((width > 0) & (edits == 0), np.abs(sizes - width), 0), "fields": fields})
 
 
 def parse_lines(lines: DataFrame, max_files: int = 100_000) -> DataFrame:
