@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,12 +120,18 @@ def fuse(claimed: DataFrame, rounds: int = 3, max_sources: int = 1000) -> DataFr
             "source", F.greatest(F.lit(0.05), F.least(F.lit(0.95), F.col("s") / F.col("m"))).alias("acc")
         )
         pairs = _pair_counts(voted)
-        # likelihood ratio of copying against independence, from shared true, shared false and differing values
-        ratio = F.col("same_false") * F.log(F.lit((COPY_RATE + (1 - COPY_RATE) * 0.02) / 0.02)) + F.col("same_true") * F.log(F.lit((COPY_RATE + (1 - COPY_RATE) * 0.64) / 0.64)) + F.col("differ") * F.log(F.lit(1 - COPY_RATE))
-        odds = F.exp(F.least(F.lit(50.0), F.greatest(F.lit(-50.0), ratio))) * (COPY_PRIOR / (1 - COPY_PRIOR))
-        linked = pairs.select("a", "b", (odds / (1 + odds)).alias("dep"))
         acc_a, acc_b = accuracy.select(F.col("source").alias("a"), F.col("acc").alias("acc_a")), accuracy.select(F.col("source").alias("b"), F.col("acc").alias("acc_b"))
-        copier = linked.join(acc_a, "a").join(acc_b, "b").select(F.when(F.col("acc_a") < F.col("acc_b"), F.col("a")).otherwise(F.col("b")).alias("source"), "dep")
+        linked = pairs.join(F.broadcast(acc_a), "a").join(F.broadcast(acc_b), "b")
+        # likelihood of copying against independence, from shared true, shared false and differing values
+        c, origin = COPY_RATE, F.greatest("acc_a", "acc_b")
+        both_true, both_false = F.col("acc_a") * F.col("acc_b"), (1 - F.col("acc_a")) * (1 - F.col("acc_b")) / FALSE_VALUES
+        ratio = (
+            F.col("same_true") * F.log((origin * c + both_true * (1 - c)) / both_true)
+            + F.col("same_false") * F.log(((1 - origin) * c + both_false * (1 - c)) / both_false)
+            + F.col("differ") * math.log(1 - c)
+        )
+        odds = F.exp(F.least(F.lit(50.0), F.greatest(F.lit(-50.0), ratio))) * (COPY_PRIOR / (1 - COPY_PRIOR))
+        copier = linked.select(F.when(F.col("acc_a") < F.col("acc_b"), F.col("a")).otherwise(F.col("b")).alias("source"), (odds / (1 + odds)).alias("dep"))
         copied = sources.join(copier.groupBy("source").agg(F.max("dep").alias("dependence")), "source", "left").select("source", F.coalesce("dependence", F.lit(0.0)).alias("dependence"))
         accuracy, copied = scratch.put(accuracy.coalesce(1)), scratch.put(copied.coalesce(1))
     return posterior

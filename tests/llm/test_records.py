@@ -61,22 +61,22 @@ def test_survivors(spark):
 
 
 def test_fusion_discounts_copied_votes(spark):
-    """Sources 1 to 3 are right and independent; 4 to 8 copy one another, false values included, and outvote them."""
+    """Sources 4 to 8 copy one another, false values included, and outvote 1 to 3, which err now and then but each for itself."""
     random.seed(2)
-    rows = []
-    for g in range(300):
-        truth, fault = f"t{g}", f"f{g}" if g % 2 else f"t{g}"
-        for s in (1, 2, 3):
-            rows.append((f"g{g}", s, truth if random.random() < 0.95 else f"x{s}{g}", 1))
-        rows += [(f"g{g}", s, fault, 1) for s in (4, 5, 6, 7, 8)]
-    plain = Counter()
-    for g, s, v, _ in rows:
+    n, rows, plain = 40, [], Counter()
+    own = lambda g, s: (g, s, f"t{g}" if random.random() < 0.85 else f"x{s}{g}", 1)
+    copied = lambda g, s: (g, s, f"f{g}" if int(g[1:]) % 2 else f"t{g}", 1)
+    for g in range(n):
+        rows += [own(f"g{g}", s) for s in (1, 2, 3)] + [copied(f"g{g}", s) for s in (4, 5, 6, 7, 8)]
+    for g, _, v, _ in rows:
         plain[g, v] += 1
-    naive = sum(max((n, v) for (h, v), n in plain.items() if h == f"g{g}")[1] == f"t{g}" for g in range(300))
-    seeds = [(f"s{g}", s, f"t{g}", 1) for g in range(200) for s in (1, 2, 3)] + [(f"s{g}", s, f"f{g}", 1) for g in range(200) for s in (4, 5)]
-    claimed = spark.createDataFrame(rows + seeds, "canon string, source long, value string, n long")
+    naive = sum(max((k, v) for (h, v), k in plain.items() if h == f"g{g}")[1] == f"tg{g}" for g in range(n))
+    for g in range(300):  # where the copiers are outvoted
+        rows += [own(f"s{g}", s) for s in (1, 2, 3, 9, 10, 11, 12, 13, 14)] + [copied(f"s{g}", s) for s in (4, 5, 6, 7, 8)]
+    claimed = spark.createDataFrame(rows, "canon string, source long, value string, n long")
     got = {r["canon"]: r["value"] for r in fuse(claimed, rounds=4).collect()}
-    assert sum(got[f"g{g}"] == f"t{g}" for g in range(300)) > naive
+    right = sum(got[f"g{g}"] == f"tg{g}" for g in range(n))
+    assert right > naive + n // 4, (right, naive)
     assert fuse(claimed.limit(0)).count() == 0
 
 
