@@ -17,6 +17,42 @@ def _small(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+#: Times a round follows each label to its own label.
+JUMPS = 2
+
+
+def minimum_labels(links: DataFrame, scratch: Scratch, rounds: int) -> DataFrame:
+    """``node, component`` for links that are held in both directions: the smallest node of each component.
+
+    Each round gives a node the smallest of itself and its neighbours, follows
+    the labels a few steps, and puts labels in the place of nodes: what is left
+    is the graph of the labels, a fraction of the last one, also along chains.
+    At the end the rounds' labels are composed, the smallest table first.
+    """
+    tables = []
+    for _ in range(rounds):
+        labels = links.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))
+        for _ in range(JUMPS):
+            labels = scratch.put(labels)
+            next_to = labels.select(F.col("node").alias("to"), F.col("to").alias("further"))
+            labels = labels.join(next_to, "to").select("node", F.col("further").alias("to"))
+        labels = scratch.put(labels)
+        tables.append(labels)
+        ends = links.join(labels.toDF("a", "_a"), "a").join(labels.toDF("b", "_b"), "b")
+        rest = scratch.put(ends.where("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+        scratch.drop(links)
+        links = rest
+        if not links.limit(1).count():
+            break
+    else:
+        raise RuntimeError(f"labels still change after {rounds} rounds")
+    found = tables[-1].toDF("node", "component")
+    for labels in reversed(tables[:-1]):
+        found = labels.join(found.toDF("to", "last"), "to", "left").select("node", F.coalesce("last", "to").alias("component"))
+        found = scratch.put(found)
+    return found
+
+
 def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     """``node, component``: every node of ``links`` (``a, b``, longs) with the smallest node it is linked to.
 
@@ -24,8 +60,8 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     highest degree, one join a step of the frontier with the links, while the
     layers grow. The nodes reached leave the link table and stand as one node
     in it, for what still hangs on them. The rest is labelled by propagating
-    the minimum over the links, with a shortcut to the label's own label each
-    round, so a chain of n links takes about log n rounds. Both ends of a
+    the minimum over the links; after each round labels stand for their nodes,
+    so a chain of n links takes about log n rounds. Both ends of a
     link are held, so either may be hot: a step keeps the minimum a node, which
     is aggregated before it is shuffled, and a frontier of few rows is broadcast
     after a count. Every table between rounds is written to the shared folder.
@@ -66,22 +102,7 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     hung = outer.where(F.col("b") == low).select(F.col("b").alias("a"), F.col("a").alias("b"))
     small = scratch.put(outer.unionByName(hung))
     scratch.drop(edges, outer, *layers)
-    # the first label is the smallest of a node and its neighbours: a partial aggregation, no join
-    labels = scratch.put(small.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).select(F.col("a").alias("node"), "component"))
-    for _ in range(rounds):
-        seen_b = labels.select(F.col("node").alias("b"), F.col("component").alias("other"))
-        pulled = small.join(seen_b, "b").groupBy("a").agg(F.min("other").alias("low")).withColumnRenamed("a", "node")
-        next_labels = labels.join(pulled, "node", "left").select("node", F.least("component", "low").alias("to"), F.col("component").alias("was"))
-        jump = labels.select(F.col("node").alias("to"), F.col("component").alias("further"))
-        moved = next_labels.join(jump, "to", "left").select("node", F.least("to", "further").alias("component"), "was")
-        moved = scratch.put(moved)
-        changed = moved.where("component <> was").limit(1).count()
-        old, labels = labels, moved
-        scratch.drop(old)
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"labels still change after {rounds} rounds")
+    labels = minimum_labels(small, scratch, rounds)
     found = labels.where(F.col("node") == low).agg(F.min("component")).first()[0]
     giant_labels = giant.select("node", F.lit(low if found is None else found).alias("component"))
     labelled = giant_labels.unionByName(labels.where(F.col("node") != low).select("node", "component"))
