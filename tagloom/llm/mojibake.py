@@ -68,6 +68,24 @@ def byte_options(c: str, page: str) -> tuple[int, ...]:
     return tuple(b for b in out if b >= 0)
 
 
+@lru_cache(maxsize=None)
+def may_hold_utf8(page: str) -> regex.Pattern:
+    """Finds a character that may be a lead byte, in either case, before one that may follow it."""
+    shown = {bytes([b]).decode(page, "replace") for b in range(128, 256)} | {chr(b) for b in range(128, 256)}
+    every = sorted(c for c in shown | {c.swapcase() for c in shown} if len(c) == 1)
+    lead = [c for c in every if any(0xC2 <= b <= 0xF4 for b in byte_options(c, page))]
+    tail = [c for c in every if any(0x80 <= b <= 0xBF for b in byte_options(c, page))]
+    return regex.compile(f"[{regex.escape(''.join(lead), literal_spaces=True)}][{regex.escape(''.join(tail), literal_spaces=True)}]")
+
+
+def may_be_coded(s: str) -> bool:
+    """Whether at least a fifth of some piece is high characters of the Western page.
+
+    A piece that came from another script has them in every second place, or all.
+    """
+    return any(5 * sum(ord(c) > 127 and page_byte(c, "cp1252") >= 0 for c in piece) >= len(piece) for piece in PIECE.split(s) if piece and not piece.isascii())
+
+
 def undo_utf8(s: str, page: str) -> str:
     """The text with every valid UTF-8 sequence among its bytes decoded; the rest stays as it is."""
     codes = [page_byte(c, page) for c in s]
@@ -130,18 +148,34 @@ def undo_wide(s: str, source: str) -> str | None:
     return "".join(out) if changed else None
 
 
+@lru_cache(maxsize=None)
+def letter_table(source: str) -> dict[int, str]:
+    """What each high character of the Western page was in another page, where that is a letter."""
+    out = {}
+    for b in range(128, 256):
+        was, shown = bytes([b]).decode(source, "replace"), bytes([b]).decode("cp1252", "replace")
+        if was.isalpha():
+            out[ord(shown) if shown != LOST else b] = was
+    return out
+
+
 def undo_letters(s: str, source: str) -> str | None:
-    """A single-byte text read in another single-byte page: a substitution, letter by letter."""
-    out = []
-    for c in s:
-        b = page_byte(c, "cp1252") if ord(c) > 127 else -1
-        out.append(bytes([b]).decode(source, "replace") if b >= 0 else c)
-    text = "".join(out)
-    return None if LOST in text and LOST not in s else text
+    """A single-byte text read in another single-byte page: a substitution of letters for letters, the rest stays."""
+    table = letter_table(source)
+    text = s.translate(table)
+    whole = all(t != c for c, t in zip(s, text) if ord(c) > 127 and c.isalpha() and page_byte(c, "cp1252") >= 0)
+    return text if whole and text != s else None
 
 
 def undo_wide_page(s: str, page: str) -> str | None:
     """UTF-8 read in a multi-byte page, stretch by stretch between characters the page does not hold."""
+    try:
+        text = s.encode(page).decode("utf-8")
+        return text if text != s else None
+    except UnicodeDecodeError:
+        return None
+    except UnicodeEncodeError:
+        pass
     out, held, changed = [], bytearray(), False
 
     def flush(stretch: str) -> None:
@@ -168,11 +202,11 @@ def undo_wide_page(s: str, page: str) -> str | None:
 def candidates(s: str) -> list[tuple[str, str]]:
     """``(swap, text)`` of all texts a garbled text may have been."""
     found: dict[str, str] = {}
-    texts = {s}
     ended = regex.sub("([ÃРà√])(?=[ _]|$)", "\\1" + chr(0xA0), s)  # a no-break space that was trimmed or folded away
-    texts.add(ended)
-    for t in texts:
+    for t in dict.fromkeys((s, ended)):
         for page in SINGLE_PAGES:
+            if not may_hold_utf8(page).search(t):
+                continue
             for kind, undo in (("", undo_utf8), ("~", undo_recased)):
                 now, path = t, ""
                 for _ in range(MAX_DEPTH):
@@ -184,8 +218,7 @@ def candidates(s: str) -> list[tuple[str, str]]:
         for page in WIDE_PAGES:
             if (r := undo_wide_page(t, page)) is not None:
                 found.setdefault(r, f"utf-8>{page}")
-    latin = any(ord(c) > 127 and page_byte(c, "cp1252") >= 0 for c in s)
-    if latin:
+    if may_be_coded(s):
         for source in WIDE_SOURCES:
             for t, kind in ((s, ""), (s.upper(), "~")):
                 if (r := undo_wide(t, source)) is not None:
