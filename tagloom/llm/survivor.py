@@ -24,8 +24,9 @@ def survivors(records: DataFrame) -> DataFrame:
     row is canonicalised once and nothing is joined back.
     """
     rows = records.select("tag_id", "source_tag", "tag", "created_at", "updated_at", canonical_words(record_text()).alias("canon")).where("canon is not null")
-    late = F.struct(F.coalesce(F.col("updated_at"), F.lit("0001-01-01").cast("timestamp")).alias("t"), (-F.col("tag_id")).alias("i"))
-    early = F.struct(F.coalesce(F.col("created_at"), F.lit("9999-12-31").cast("timestamp")).alias("t"), F.col("tag_id").alias("i"))
+    # null sorts first: as the earliest for the one, behind a flag as the latest for the other
+    late = F.struct("updated_at", (-F.col("tag_id")).alias("i"))
+    early = F.struct(F.col("created_at").isNull().alias("none"), "created_at", F.col("tag_id").alias("i"))
     groups = rows.groupBy("canon").agg(
         F.min("tag_id").alias("tag_id"),
         F.count("*").alias("members"),
