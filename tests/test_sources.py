@@ -132,3 +132,24 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame([(1, 1, 9, None, None), (3, 1, 1, None, None)], schema).write.mode("append").parquet(folder)
     run()
     assert sorted((r["tag_id"], r["count"]) for r in state["df"].collect()) == [(1, 9), (3, 1)]
+
+
+def test_master_data(spark):
+    from tagloom.sources import master
+
+    assert master.formats(spark).count() == 19 and master.mappings(spark).count() == 96
+    once = master.seed(master.formats(spark).limit(3), master.formats(spark), ["format_id"])
+    assert master.seed(once, master.formats(spark), ["format_id"]).count() == 19
+
+
+def test_command(spark, tmp_path):
+    from tagloom.control.cli import arguments, run_build
+
+    database(tmp_path / "in" / "yande.re" / "tags.sqlite", {"tags": ("name TEXT, count INTEGER, type INTEGER", [("Witch", 3, 0), ("broom", 2, 4)])})
+    args = arguments().parse_args(["build", "--root", str(tmp_path / "in"), "--out", str(tmp_path / "out")])
+    assert run_build(spark, args) == 0
+    view = {r["tag"]: (r["type_name"], r["count"]) for r in spark.read.parquet(str(tmp_path / "out" / "view.parquet")).collect()}
+    assert view == {"witch": ("general", 3), "broom": ("character", 2)}
+    assert json.load(open(tmp_path / "out" / "health.json"))["total_tags"] == 2
+    (tmp_path / "none").mkdir()
+    assert run_build(spark, arguments().parse_args(["build", "--root", str(tmp_path / "none"), "--out", str(tmp_path / "o2")])) == 1
