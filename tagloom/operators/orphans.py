@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.tables import Scratch
+
 #: A month before all others: for keys that exist without a date.
 ALWAYS = "0000-00"
 #: A month after all others: for references without a date, which any record satisfies.
@@ -84,7 +86,8 @@ def find_orphans(references: list[Reference], existence: dict[str, DataFrame]) -
         DataFrame.unionByName,
         (df.select(F.concat_ws("\x1f", F.lit(field), F.col("key")).alias("key"), "period", F.col("n").cast("bigint").alias("n")) for field, df in existence.items()),
     )
-    orphans = orphan_keys(deltas, have).select("ref_table", "ref_field", F.substring_index("key", "\x1f", -1).alias("key"), "period")
+    # written once: the optimiser would else compute them anew for every referring table
+    orphans = Scratch(rows.sparkSession).put(orphan_keys(deltas, have).select("ref_table", "ref_field", F.substring_index("key", "\x1f", -1).alias("key"), "period"))
     hits = rows.join(orphans, ["ref_table", "ref_field", "key", "period"], "left_semi")
     return hits.select("ref_table", "ref_field", "period", F.col("row_id").alias("tag_id"), F.col("key").alias("missing_key")).distinct()
 
