@@ -81,3 +81,16 @@ def fold_duplicates(rows: DataFrame, key: list[str], order: list[str], attribute
     """One status row a key: the first canonical one, else the alias with the smallest target, the earliest on ties."""
     rank = F.struct(F.col("alias").alias("_a"), F.when(F.col("alias") == 1, F.col("preferred_tag_id")).otherwise(F.lit(0)).alias("_p"), *dict.fromkeys([*order, *attributes]))
     return rows.groupBy(*key).agg(F.min(rank).alias("_b")).select(*key, *(F.col(f"_b.{c}").alias(c) for c in attributes))
+
+
+def fold_conflicts(rows: DataFrame, key: list[str], order: list[str], attributes: list[str]) -> DataFrame:
+    """Rows that differ from the winner of the rows before them, with that winner's attributes as ``kept_*``.
+
+    The running winner is that of ``fold_duplicates``. A key is a (tag, format)
+    or a tag, so its rows are few.
+    """
+    rank = F.struct(F.col("alias").alias("_a"), F.when(F.col("alias") == 1, F.col("preferred_tag_id")).otherwise(F.lit(0)).alias("_p"), *dict.fromkeys([*order, *attributes]))
+    before = Window.partitionBy(*key).orderBy(*order, *attributes).rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.withColumn("_kept", F.min(rank).over(before)).where(F.col("_kept").isNotNull())
+    differs = reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"_kept.{c}")) for c in attributes))
+    return seen.where(differs).select(*key, *order, *attributes, *(F.col(f"_kept.{c}").alias(f"kept_{c}") for c in attributes))

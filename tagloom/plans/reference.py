@@ -531,3 +531,37 @@ def prefix_inversions(spark: SparkSession, d: str) -> DataFrame:
 )
 def bad_unicode(spark: SparkSession, d: str) -> DataFrame:
     return views.bad_unicode(*_t(spark, d, "tags", "tag_status", "tag_usage_counts"))
+
+
+@query(
+    """WITH s AS (SELECT source_tag, min(site_row_id) AS id FROM site_tags GROUP BY 1), a AS (SELECT alias, min(alias_index) AS id FROM tag_aliases GROUP BY 1),
+ l AS (SELECT lower(tag) AS tag, min(alias_index) AS id FROM tag_aliases WHERE contains(tag, chr(65533)) GROUP BY 1)
+ SELECT t.tag_id, CASE WHEN s.id IS NOT NULL THEN 'site_source' WHEN a.id IS NOT NULL THEN 'alias_source' WHEN s2.id IS NOT NULL THEN 'site_tag' WHEN l.id IS NOT NULL THEN 'alias_target' ELSE 'unknown' END AS origin,
+  coalesce(s.id, a.id, s2.id, l.id) AS origin_id
+ FROM tags t LEFT JOIN s ON s.source_tag = t.source_tag LEFT JOIN a ON a.alias = t.source_tag LEFT JOIN s s2 ON s2.source_tag = t.tag LEFT JOIN l ON l.tag = t.tag
+ WHERE contains(coalesce(t.tag, ''), chr(65533)) OR contains(coalesce(t.source_tag, ''), chr(65533))"""
+)
+def bad_unicode_origins(spark: SparkSession, d: str) -> DataFrame:
+    return views.bad_unicode_origins(*_t(spark, d, "tags", "site_tags", "tag_aliases"))
+
+
+@query(
+    """WITH r AS (SELECT *, first_value(ROW(type_id, alias, preferred_tag_id)) OVER () AS x, ROW(alias, CASE WHEN alias = 1 THEN preferred_tag_id ELSE 0 END, format_id, type_id, alias, preferred_tag_id) AS rank FROM tag_status),
+ w AS (SELECT *, min(rank) OVER (PARTITION BY tag_id ORDER BY format_id, type_id, alias, preferred_tag_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS kept FROM r)
+ SELECT tag_id, format_id, type_id, alias, preferred_tag_id, kept[4] AS kept_type_id, kept[5] AS kept_alias, kept[6] AS kept_preferred_tag_id FROM w
+ WHERE kept IS NOT NULL AND (type_id IS DISTINCT FROM kept[4] OR alias IS DISTINCT FROM kept[5] OR preferred_tag_id IS DISTINCT FROM kept[6])"""
+)
+def fold_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    return merge.fold_conflicts(load(spark, d, "tag_status"), ["tag_id"], ["format_id"], ["type_id", "alias", "preferred_tag_id"])
+
+
+@query(
+    f"""WITH long AS (SELECT 'site' AS language, source_tag, unnest({_SPLIT.replace('translation', 'deprecated_tags')}) AS translation FROM site_tags WHERE deprecated_tags IS NOT NULL
+ UNION ALL SELECT 'created', source_tag, unnest({_SPLIT.replace('translation', 'source_created_at')}) FROM site_tags WHERE source_created_at IS NOT NULL)
+ SELECT source_tag, language, translation, count(*) AS n_rows FROM long GROUP BY ALL"""
+)
+def unpivot_columns(spark: SparkSession, d: str) -> DataFrame:
+    from tagloom.sources.files import unpivot_translations
+
+    rows = load(spark, d, "site_tags").select("source_tag", F.col("deprecated_tags").alias("site"), F.col("source_created_at").alias("created"))
+    return unpivot_translations(rows, ["site", "created"]).groupBy("source_tag", "language", "translation").agg(F.count("*").alias("n_rows"))

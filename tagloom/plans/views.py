@@ -191,3 +191,29 @@ def prune_null_columns(df: DataFrame, limit: float = 0.9) -> DataFrame:
     """Without the columns of which at least ``limit`` is null."""
     keep = [r["column_name"] for r in null_ratios(df).where(F.col("null_ratio") < limit).collect()]  # one row a column
     return df.select(*(f"`{c}`" for c in df.columns if c in keep))
+
+
+def bad_unicode_origins(tags: DataFrame, site_tags: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``tag_id, origin, origin_id``: where a tag with replacement characters came from.
+
+    The first that holds: a site row with its source form, an alias with its
+    source form, a site row with its tag, an alias whose target in lower case is
+    its tag; else ``unknown``. Of several rows the smallest id counts.
+    """
+    bad = tags.where(F.col("tag").contains(chr(0xFFFD)) | F.col("source_tag").contains(chr(0xFFFD))).select("tag_id", "source_tag", "tag")
+
+    def first(df: DataFrame, name, row_id: str, on: str, origin: str) -> DataFrame:
+        return df.select(name.alias(on), F.col(row_id).alias("_id")).where(F.col(on).isNotNull()).groupBy(on).agg(F.min("_id").alias(origin))
+
+    out = bad
+    for df, name, row_id, on, origin in (
+        (site_tags, F.col("source_tag"), "site_row_id", "source_tag", "site_source"),
+        (aliases, F.col("alias"), "alias_index", "source_tag", "alias_source"),
+        (site_tags, F.col("source_tag"), "site_row_id", "tag", "site_tag"),
+        (aliases, F.lower(F.col("tag")), "alias_index", "tag", "alias_target"),
+    ):
+        found = first(df, name, row_id, on, origin)
+        out = out.join(found.where(F.col(on).contains(chr(0xFFFD)) if origin == "alias_target" else F.lit(True)), on, "left")
+    names = ("site_source", "alias_source", "site_tag", "alias_target")
+    chosen = F.coalesce(*(F.when(F.col(n).isNotNull(), F.lit(n)) for n in names), F.lit("unknown"))
+    return out.select("tag_id", chosen.alias("origin"), F.coalesce(*names).alias("origin_id"))
