@@ -6,6 +6,7 @@ shared by all executors, so a lost executor costs a re-read and nothing else.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -27,6 +28,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_ROOTS: list[tuple[SparkSession, str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def _clean() -> None:
+    """Intermediate tables live as long as the application that wrote them."""
+    for spark, root in _ROOTS:
+        try:
+            _delete(spark, root)
+        except Exception:  # the JVM is gone, and with it the application
+            pass
+
+
 class Scratch:
     """Tables written to the shared folder during an iterative plan.
 
@@ -38,6 +57,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/tagloom-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
+        _ROOTS.append((spark, self.root))
 
     def put(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{len(self.paths)}-{uuid.uuid4().hex[:8]}"
@@ -49,9 +69,7 @@ class Scratch:
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
             if path := self.paths.pop(id(df), None):
-                hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-                p = hadoop.Path(path)
-                p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+                _delete(self.spark, path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
