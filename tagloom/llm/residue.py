@@ -52,8 +52,10 @@ PLACEHOLDERS = [
     rf"(?<!\w)__(?!(?:{'|'.join(SWITCHES)})__)[A-Z0-9]+(?:_[A-Z0-9]+)*__(?!\w)",
     r"@@\w{1,40}@@|(?<!\w)##\w{1,40}##(?!\w)",
     r"#(?:REF|VALUE|DIV/0|NUM|NULL)!|#NAME\?|#N/A\b",
-    r"(?<!\[)\[(?i:insert|enter|add|fill in|put|place|your|name of|type|description of|date of|number of|todo|tbd)\b[^\[\]\n]{0,60}\](?![\](])",
+    r"(?<!\[)\[(?i:insert|enter|add|fill in|put|place|your (?:name|text|title|address|city|company|date|email|own|organi[sz]ation)|name of|type|description of|date of|number of|todo|tbd)\b[^\[\]\n]{0,60}\](?![\](])",
+    r"(?<!\[)\[(?:Your|YOUR)\b[^\[\]\n]{0,60}\](?![\](])",
     r"(?<!\[)\[[A-Z][A-Z0-9 _]{0,40} HERE\](?!\])",
+    r"^(?:TODO|FIXME|TBD|TBA)(?::|\.?$)",
     NAMED + r"(?<!\w)X{4,8}(?!\w)|(?<!\w)XXX(?= [a-z]+)(?! Corps)(?=[^.\n]*\bX{3,})",
     r"(?<=\w )\?{3,8}(?=[\s.,;:]|$)",
     r"(?m)'''(?:undefined|null|NaN|None)'''|^(?:undefined|null|NaN) (?:is|was|has|are|were)\b|\b(?:in|of|near|from|by) (?:undefined|null|NaN)\b(?=[\s.,;]|$)(?! (?:value|string|hypothesis|pointer|behaviou?r|set)s?)",
@@ -61,17 +63,19 @@ PLACEHOLDERS = [
 FILLERS = [
     r"(?:^|[.!?]\s+)(?:sample|dummy|filler|placeholder) text\b(?! (?:is|was|were|are|in|from|for)\b)",
     r"\b(?:your|add) (?:own )?(?:text|content|title|description)s? (?:goes |go )?here\b|\b(?:text|content|description|title|biography|caption) (?:goes|go) here\b|\btext to (?:follow|come)\b",
+    r"\binsert (?:your |some |the )?(?:text|content|title|name|description|image|paragraph) here\b|(?m)^(?:content |page )?coming soon\b",
     r"\bblah(?:[ ,.]+blah){2,}",
     r"\breplace this (?:paragraph|text|section|sentence|line|placeholder)\b|\((?:editor|author|writer)s?: ?\d+ words\b|\bclick here to (?:add|edit|enter)\b|\bcontent coming soon\b",
-    r"\bblindtext\b(?=[^.\n]*\b(?:bis|folgt|ersetzen|hier)\b)|\bplatzhalter(?:text)?\b(?=[^.\n]*\b(?:bis|folgt|ersetzen|hier|für)\b)|\bhier (?:steht|folgt|kommt)[^.\n]{0,30}\b(?:blind|platzhalter)?text\b|\btext folgt\b|\b(?:bei)?spieltext\b",
+    r"\bblindtext\b(?=[^.\n]*\b(?:bis|folgt|ersetzen|hier)\b)|\bplatzhalter(?:text)?\b(?=[^.\n]*\b(?:bis|folgt|ersetzen|hier|für)\b)|\bhier (?:steht|folgt|kommt)[^.\n]{0,30}\b(?:blind|platzhalter)?text\b|\btext folgt\b|\bbeispieltext\b",
     r"\btexto de (?:relleno|ejemplo|prueba|muestra)\b|\b(?:escriba|inserte|introduzca) (?:aquí )?(?:su|el|un) texto\b|\b(?:su|el) texto (?:va )?aquí\b",
     r"\btexte (?:provisoire|de remplissage|factice|à venir|d[’']exemple|bidon)\b|\b(?:insérez|saisissez|écrivez|ajoutez) (?:ici )?(?:votre|le|un) texte\b|\bvotre texte ici\b",
     r"(?:ダミー|サンプル|仮)(?:の)?(?:テキスト|文章|文)|ここに[^。\n]{0,30}(?:入力|記入|書い|書く|挿入|追加|入れ|入り|テキスト|文章|説明)|(?:本文|文章|説明)(?:は|を)?(?:後日|準備中|未定)|準備中です",
 ]
 ERRORS = [
     r"\b[45]\d\d (?:not found|forbidden|bad gateway|service (?:temporarily )?unavailable|internal server error|gateway time-?out|unauthorized|bad request|too many requests)\b",
-    r"\b(?:page|url|file|document|address|resource)\b[^.\n]{0,60}\b(?:was|were|could|can)(?: ?not|n[’']t) (?:be )?(?:found|displayed|loaded|shown)\b|\bnot found on this server\b|(?m)^page not found\b",
+    r"\b(?:page|url|file|document|address|resource)\b[^.\n]{0,60}\b(?:was|were|could|can)(?: ?not|n[’']t) (?:be )?(?:found|displayed|loaded|shown)\b(?! (?:until|till|before|after|in|by|at|among|amid|guilty|to|again|when|where|that|worthy)\b)|\bcould not find (?:the|this|that) (?:page|file|document)\b|\bnot found on this server\b|(?m)^page not found\b",
     r"(?m)(?:^|[.!?:]\s+)access (?:denied|forbidden)\b|\byou (?:do not|don[’']t) have permission\b|\bpermission denied\b",
+    r"(?m)^(?:service (?:temporarily )?unavailable|forbidden|unauthorized|bad request|loading\s*(?:…|\.\.\.))\s*[.!]?\s*$",
     r"\b(?:could not|cannot|can[’']t|unable to|failed to) (?:connect|establish a connection|select|open) (?:to )?[^.\n]{0,50}\b(?:database|server|host|socket)\b|\berror establishing\b",
     r"\binternal server error\b|\bgateway time-?out\b|(?m)(?:^|[.!?]\s+)too many requests\b|\b(?:service|server|site|page|website) is (?:temporarily |currently )?(?:unavailable|overloaded|down)\b|\b(?:experiencing|having) (?:some )?technical (?:difficulties|problems)\b|\bbad gateway\b",
     r"\b(?:please )?(?:try again|retry) (?:later|in a few|after \d+|in \d+)\b|\bthe upstream [^.\n]{0,40}did not (?:answer|respond)\b|\brequest timed out\b|\bconnection (?:timed out|refused|reset)\b",
@@ -100,7 +104,7 @@ _UNCASED = re.compile("|".join(f"(?:{p})" for p in FILLERS + ERRORS + NOTICES).r
 #: Each grammar but those of ``_BARE`` needs one of these in the lower-cased line; lines without any are passed over.
 MARKS = (
     "{{{", "${", "$(", "%s", "%d", "%i", "%f", "%(", "%>", "%}", "?>", "<<", "[[[", "__", "@@", "##", "#ref!", "#value!", "#div/0", "#num!", "#null!", "#name?", "#n/a", "[insert", "[enter", "[add", "[fill", "[put",
-    "[place", "[your", "[name", "[type", "[descr", "[date", "[number", "[todo", "[tbd", " here]", "xxx", "???", "undefined", "null", "nan", "'''none", "lorem", "blah", "text", "editor", "author", "writer", "click here",
+    "[place", "[your", "[name", "[type", "[descr", "[date", "[number", "[todo", "[tbd", " here]", "xxx", "???", "undefined", "null", "nan", "'''none", "lorem", "blah", "insert ", "coming soon", "loading", "todo", "fixme", "tbd", "tba", "text", "editor", "author", "writer", "click here",
     "content", "title go", "description go", "biography go", "caption go", "replace this", "platzhalter", "not found", "not be", "n't", "n’t", "denied", "forbidden", "permission", "cannot", "could not",
     "unable", "failed", "gateway", "too many", "unavailable", "overloaded", "is down", "technical", "try again", "retry", "upstream", "timed out", "connection", "error", "exception", "detected", "traceback", "segmentation",
     "warning:", "notice:", "deprecated:", ".java:", ".js:", ".ts:", ".kt:", ".scala:", ".cs:", ".cpp:", "sorry", "oops", "went wrong", "unauthorized", "bad request", "vuelva", "inténtelo", "página", "denegado", "no se pudo",

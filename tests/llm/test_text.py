@@ -106,13 +106,13 @@ RESIDUE = [
     "__TOWN__ has been part", "at @@NAME@@ was repaired", "Population: #REF!", "XXXX is a village of XXX inhabitants", "The mill of ???? was built in ????.", "'''undefined''' is a mill", "null is a village in null",
     "Please enable JavaScript to view the map.", "Veuillez activer JavaScript pour afficher", "Para ver este contenido, active JavaScript", "Bitte aktivieren Sie JavaScript", "スクリプトを有効にしてください。", "Your text goes here.",
     "Hier steht ein Blindtext, bis er ersetzt wird", "Texto de relleno, sustituir", "Texte provisoire : à remplacer", "ここに本文を入力してください。", "Access denied. You do not have permission", "Error interno del servidor.", "Fehlercode 27.",
-    "お探しのページは見つかりませんでした。", "java.lang.NullPointerException", "Traceback (most recent call last):", "Lua error in Module:X at line 3", "Template loop detected: Template:X", "{% if year %}The bridge{% endif %}", "Blah blah blah mill blah blah.",
+    "お探しのページは見つかりませんでした。", "java.lang.NullPointerException", "Traceback (most recent call last):", "Lua error in Module:X at line 3", "Template loop detected: Template:X", "{% if year %}The bridge{% endif %}", "Blah blah blah mill blah blah.", "[Your name]", "TODO: write", "Insert text here", "Coming soon", "Service Unavailable", "Loading...", "We could not find the page",
 ]
 CONTENT = [
     'The status line "404 Not Found" was shown 8 times.', "Printers set ''lorem ipsum'' as a specimen.", "The syntax <code>${year}</code> was taken over.", "a parameter is written <nowiki>{{{name}}}</nowiki> and",
     '<syntaxhighlight lang="c">\nprintf("%s is a mill", x);\n</syntaxhighlight>', "Clerks wrote XXXX where a witness could not sign.", "The word ''undefined'' was used.", "the first in which users could switch scripts off, and JavaScript support followed in 2007.",
     'got the words "page not found", and', "{{Infobox mill\n| name = \n| year = 3\n}}", "{{Expand section|date=May 2015}} {{stub}} {{reflist}}", "#REDIRECT [[Mill]]", "lol lol lol lol", "?" * 200, "x" * 200, "__NOTOC__ {{DEFAULTSORT:Mill}}",
-    "It covers 50% of the district, 3 of 5 dry. Most manuscripts by default.", "<div class=\"x\">a</div><br /><ref name=\"y\">z</ref>", "", "Pope John XXIII and Chapter XXX were read.",
+    "It covers 50% of the district, 3 of 5 dry. Most manuscripts by default.", "<div class=\"x\">a</div><br /><ref name=\"y\">z</ref>", "", "See [your local library]. The page was not found until 1950; todo lists and insert moulds.", "{{{1|}}}", "Pope John XXIII and Chapter XXX were read.",
 ]
 
 
