@@ -1,7 +1,8 @@
 """``python -m tagloom.control.cli build --root DIR --out DIR``: the build as a command.
 
 Reads the site databases under ROOT, on top of an earlier build if given, and
-writes tables, the view, and reports under OUT. Exit code 1 if no source loaded.
+writes tables, the view, and reports under OUT. Exit code 1 if no source loaded
+and there is no earlier build.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 from pyspark.sql import SparkSession
 
 from tagloom.control.filters import load_alias_overrides, parse_filter
-from tagloom.plans.pipeline import build
+from tagloom.plans.pipeline import BASE, build
 from tagloom.plans.views import alias_view, format_statistics, health
 from tagloom.sources.master import formats, mappings
 from tagloom.sources.sinks import write_metadata, write_report, write_tables, write_view
@@ -36,14 +37,12 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> int:
     overrides = None
     if a.alias_overrides:
         overrides = spark.createDataFrame(load_alias_overrides(a.alias_overrides), "domain string, alias string, canonical string")
-    base = {"tags": spark.read.parquet(os.path.join(a.base, "tags.parquet"))} if a.base else None
+    base = {n: spark.read.parquet(os.path.join(a.base, f"{n}.parquet")) for n in BASE} if a.base else None
     tables = build(spark, a.root, base, rules(a.include), rules(a.exclude), overrides)
     write_report(tables.pop("skipped_sources"), os.path.join(a.out, "skipped_sources"))
     if "tag_status" not in tables:
         return 1
     write_report(tables.pop("alias_conflicts"), os.path.join(a.out, "alias_conflicts"))
-    if "tag_translations" not in tables:
-        tables["tag_translations"] = spark.createDataFrame([], "tag_id long, language string, translation string, translation_id long")
     master = {"tag_formats": formats(spark), "tag_type_format_mapping": mappings(spark)}
     write_tables(tables | master, a.out)
     back = {n: spark.read.parquet(os.path.join(a.out, f"{n}.parquet")) for n in [*tables, *master]}

@@ -12,18 +12,38 @@ from tagloom.control.filters import discover_sites, included
 from tagloom.functions.text import canonicalize_source_tag, has_name, normalize_tag
 from tagloom.operators.clean import script_filter, split_values
 from tagloom.operators.ids import dense_ids, next_id
-from tagloom.operators.merge import greatest_wins, last_wins
+from tagloom.operators.merge import greatest_wins, insert_or_ignore, last_wins
 from tagloom.operators.register import tag_index
 from tagloom.sources.files import unpivot_translations
 from tagloom.sources.sqlite import read_site, site_format
 from tagloom.tables import Scratch
 
 FIXED = ("ord", "source_tag", "format_id", "type_id", "count", "aliases", "deprecated", "source_created_at", "source_updated_at")
+TAGS = "tag_id long, source_tag string, tag string"
+STATUS = "tag_id long, format_id long, type_id long, alias int, preferred_tag_id long, deprecated int, source_created_at string"
+USAGE = "tag_id long, format_id long, count long, source_created_at string, source_updated_at string"
+TRANSLATIONS = "translation_id long, tag_id long, language string, translation string, created_at timestamp, updated_at timestamp"
+NO_ROWS = "src int, ord long, source_tag string, format_id long, type_id long, count long, aliases array<string>, deprecated int, source_created_at string, source_updated_at string"
+NO_CONFLICTS = "alias string, selected string, rejected string, reason string, site string"
+#: The tables that a build adds to.
+BASE = {"tags": TAGS, "tag_status": STATUS, "tag_usage_counts": USAGE, "tag_translations": TRANSLATIONS}
+
+
+def in_schema(spark: SparkSession, df: DataFrame | None, schema: str) -> DataFrame:
+    """The columns of ``schema``, null where the table lacks one; an empty table for none."""
+    empty = spark.createDataFrame([], schema)
+    if df is None:
+        return empty
+    return df.select(*((F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c) for c, kind in empty.dtypes))
 
 
 def build(spark: SparkSession, root: str, base: dict[str, DataFrame] | None = None, include=None, exclude=None, overrides: DataFrame | None = None) -> dict[str, DataFrame]:
     """Tag tables of all site databases under a folder, on top of ``base`` tables if given.
 
+    ``base`` holds the tables of an earlier build; its status, counts and
+    translations are the first source, and its ids stay. Without any site the
+    result is the base, cleaned.
+
     Pass one registers every name of every site, pass two composes status,
     counts and translations against the full index. The order of sites, rows
     and aliases is an explicit column, and each table is one aggregation.
@@ -51,9 +71,13 @@ def build(spark: SparkSession, root: str, base: dict[str, DataFrame] | None = No
             told.append(unpivot_translations(frame, languages).withColumn("src", F.lit(rank)))
         conflicts.append(rivals.withColumn("site", F.lit(site)))
     skipped_frame = spark.createDataFrame(skipped, "source string, reason string")
-    tags = (base or {}).get("tags", spark.createDataFrame([], "tag_id long, source_tag string, tag string")).select("tag_id", "source_tag", "tag")
-    if not rows:
+    held = {name: scratch.put(in_schema(spark, (base or {}).get(name), schema)) for name, schema in BASE.items()}
+    tags = held["tags"]
+    if not rows and base is None:
         return {"tags": tags, "skipped_sources": skipped_frame}
+    if not rows:
+        rows.append(spark.createDataFrame([], NO_ROWS))
+        conflicts.append(spark.createDataFrame([], NO_CONFLICTS))
     every = scratch.put(reduce(DataFrame.unionByName, rows))
     # pass one: all names, numbered by the site that showed them first, then by name
     own = every.select("src", F.col("source_tag").alias("name"))
@@ -68,12 +92,19 @@ def build(spark: SparkSession, root: str, base: dict[str, DataFrame] | None = No
     canon = known.select("src", "ord", F.lit(0).alias("pos"), "format_id", F.col("canonical").alias("tag_id"), F.col("canonical").alias("preferred_tag_id"), F.lit(0).alias("alias"), "type_id", "deprecated", "source_created_at")
     spread = known.select("src", "ord", "format_id", "canonical", "type_id", F.posexplode("aliases").alias("pos", "name")).withColumn("tag", normalize_tag(F.col("name"))).join(index, "tag").where("tag_id <> canonical")
     aliased = spread.select("src", "ord", (F.col("pos") + 1).alias("pos"), "format_id", "tag_id", F.col("canonical").alias("preferred_tag_id"), F.lit(1).alias("alias"), "type_id", F.lit(1).alias("deprecated"), F.lit(None).cast("string").alias("source_created_at"))
-    status = last_wins(canon.unionByName(aliased), ["tag_id", "format_id"], ["src", "ord", "pos"], ["type_id", "alias", "preferred_tag_id", "deprecated", "source_created_at"])
-    usage = greatest_wins(known.select("src", "ord", F.col("canonical").alias("tag_id"), "format_id", "count", "source_created_at", "source_updated_at"), ["tag_id", "format_id"], "count", ["src", "ord"], ["source_created_at", "source_updated_at"])
+    first = [F.lit(-1).alias("src"), F.lit(-1).cast("long").alias("ord")]
+    was = held["tag_status"].select(*first, F.lit(0).alias("pos"), *[c for c in canon.columns if c not in ("src", "ord", "pos")])
+    status = last_wins(was.unionByName(canon).unionByName(aliased), ["tag_id", "format_id"], ["src", "ord", "pos"], ["type_id", "alias", "preferred_tag_id", "deprecated", "source_created_at"])
+    counted = known.select("src", "ord", F.col("canonical").alias("tag_id"), "format_id", "count", "source_created_at", "source_updated_at")
+    usage = greatest_wins(held["tag_usage_counts"].select(*first, "*").unionByName(counted), ["tag_id", "format_id"], "count", ["src", "ord"], ["source_created_at", "source_updated_at"])
     out = {"tags": tags, "tag_status": status, "tag_usage_counts": usage, "skipped_sources": skipped_frame, "alias_conflicts": reduce(DataFrame.unionByName, conflicts)}
+    translations = held["tag_translations"]
     if told:
-        long = reduce(DataFrame.unionByName, told).withColumn("tag", normalize_tag(F.col("source_tag"))).join(index, "tag").groupBy("tag_id", "language", "translation").agg(F.min("src").alias("src"))
-        ids = dense_ids(long, [F.col("src"), F.col("tag_id"), F.col("language"), F.col("translation")], "translation_id")
+        long = reduce(DataFrame.unionByName, told).withColumn("tag", normalize_tag(F.col("source_tag"))).join(index, "tag").select("tag_id", "language", "translation", "src")
+        fresh = insert_or_ignore(translations, long, ["tag_id", "language", "translation"], ["src"])
+        ids = dense_ids(fresh, [F.col("src"), F.col("tag_id"), F.col("language"), F.col("translation")], "translation_id", next_id(translations, "translation_id"))
         none = F.lit(None).cast("timestamp")
-        out["tag_translations"] = split_values(script_filter(ids.select("translation_id", "tag_id", "language", "translation", none.alias("created_at"), none.alias("updated_at"))))
+        translations = translations.unionByName(ids.select("translation_id", "tag_id", "language", "translation", none.alias("created_at"), none.alias("updated_at")))
+    # rows of the base without a text are no matter of the cleanup and stay
+    out["tag_translations"] = split_values(script_filter(translations)).unionByName(translations.where("translation is null"))
     return out

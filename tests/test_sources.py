@@ -153,3 +153,35 @@ def test_command(spark, tmp_path):
     assert json.load(open(tmp_path / "out" / "health.json"))["total_tags"] == 2
     (tmp_path / "none").mkdir()
     assert run_build(spark, arguments().parse_args(["build", "--root", str(tmp_path / "none"), "--out", str(tmp_path / "o2")])) == 1
+
+
+def test_build_on_base(spark, tmp_path):
+    from tagloom.control.cli import arguments, run_build
+
+    def table(folder, name):
+        return spark.read.parquet(str(tmp_path / folder / f"{name}.parquet"))
+
+    def command(root, out, *more):
+        return run_build(spark, arguments().parse_args(["build", "--root", str(tmp_path / root), "--out", str(tmp_path / out), *more]))
+
+    pixiv = ("id INTEGER PRIMARY KEY, tag TEXT, num INTEGER, type INTEGER, alias INTEGER, tag_jp TEXT", [(1, "witch", 10, 0, None, "魔女､まじょ"), (2, "sorceress", 5, 0, 1, None)])
+    database(tmp_path / "one" / "anime-pictures.net" / "tags.sqlite", {"tags": pixiv})
+    again = ("id INTEGER PRIMARY KEY, tag TEXT, num INTEGER, type INTEGER, alias INTEGER, tag_jp TEXT", [(1, "witch", 7, 1, None, "魔女､ウィッチ")])
+    database(tmp_path / "two" / "anime-pictures.net" / "tags.sqlite", {"tags": again})
+    database(tmp_path / "two" / "yande.re" / "tags.sqlite", {"tags": ("name TEXT, count INTEGER, type INTEGER", [("Witch", 3, 0), ("broom", 2, 4)])})
+    (tmp_path / "none").mkdir()
+    assert command("one", "a") == 0
+    assert command("two", "b", "--base", str(tmp_path / "a")) == 0
+    assert command("none", "c", "--base", str(tmp_path / "b")) == 0
+    ids = {r["tag"]: r["tag_id"] for r in table("b", "tags").collect()}
+    assert ids == {"sorceress": 1, "witch": 2, "broom": 3}
+    for folder in ("b", "c"):
+        status = {(r["tag_id"], r["format_id"]): (r["type_id"], r["alias"], r["preferred_tag_id"]) for r in table(folder, "tag_status").collect()}
+        assert status == {(1, 14): (0, 1, 2), (2, 14): (1, 0, 2), (2, 16): (0, 0, 2), (3, 16): (4, 0, 3)}
+        assert {(r["tag_id"], r["format_id"], r["count"]) for r in table(folder, "tag_usage_counts").collect()} == {(2, 14, 10), (2, 16, 3), (3, 16, 2)}
+        told = {r["translation"]: r["translation_id"] for r in table(folder, "tag_translations").collect()}
+        assert told.keys() == {"魔女", "まじょ", "ウィッチ"} and told["ウィッチ"] == 3
+        assert json.load(open(tmp_path / folder / "health.json"))["total_tags"] == 3
+    assert spark.read.parquet(str(tmp_path / "c" / "view.parquet")).count() == spark.read.parquet(str(tmp_path / "b" / "view.parquet")).count() > 0
+    # onto itself
+    assert command("none", "c", "--base", str(tmp_path / "c")) == 0 and table("c", "tag_status").count() == 4
