@@ -101,18 +101,103 @@ LOREM = re.compile(r"\blorem ipsum\b((?:\W+\w+){0,8})", re.I)
 _CASED = re.compile("|".join(f"(?:{p})" for p in PLACEHOLDERS).replace("(?m)", ""), re.M)
 _UNCASED = re.compile("|".join(f"(?:{p})" for p in FILLERS + ERRORS + NOTICES).replace("(?m)", ""), re.M | re.I)
 
-#: Each grammar but those of ``_BARE`` needs one of these in the lower-cased line; lines without any are passed over.
-MARKS = (
-    "{{{", "${", "$(", "%s", "%d", "%i", "%f", "%(", "%>", "%}", "?>", "<<", "[[[", "__", "@@", "##", "#ref!", "#value!", "#div/0", "#num!", "#null!", "#name?", "#n/a", "[insert", "[enter", "[add", "[fill", "[put",
-    "[place", "[your", "[name", "[type", "[descr", "[date", "[number", "[todo", "[tbd", " here]", "xxx", "???", "undefined", "null", "nan", "'''none", "lorem", "blah", "insert ", "coming soon", "loading", "todo", "fixme", "tbd", "tba", "text", "editor", "author", "writer", "click here",
-    "content", "title go", "description go", "biography go", "caption go", "replace this", "platzhalter", "not found", "not be", "n't", "n’t", "denied", "forbidden", "permission", "cannot", "could not",
-    "unable", "failed", "gateway", "too many", "unavailable", "overloaded", "is down", "technical", "try again", "retry", "upstream", "timed out", "connection", "error", "exception", "detected", "traceback", "segmentation",
-    "warning:", "notice:", "deprecated:", ".java:", ".js:", ".ts:", ".kt:", ".scala:", ".cs:", ".cpp:", "sorry", "oops", "went wrong", "unauthorized", "bad request", "vuelva", "inténtelo", "página", "denegado", "no se pudo",
-    "erreur", "page d", "page r", "page i", "page n", "page e", "adresse", "accès", "réessay", "seite", "fehler", "verweigert", "versuchen", "エラー", "見つかりません", "サーバ", "アクセス", "お試し", "再度", "もう一度",
-    " script", "javascript", "cookie", "skript", "browser", "スクリプト", "クッキー", "ダミー", "サンプル", "仮", "ここに", "準備中", "後日", "未定",
-)
-#: The grammars of single braces, unknown tags and percent names, which have no literal to look for.
-_BARE = re.compile("|".join(PLACEHOLDERS[i] for i in (2, 4, 8, 9)))
+#: Characters other than its own upper case that a letter of a grammar matches where case does not count.
+_SAME = str.maketrans("İıſ", "iis")
+#: Strings followed at once in working out what a grammar needs.
+_MOST = 64
+
+
+def fold(line: str) -> str:
+    return line.translate(_SAME).lower()
+
+
+def split_alternatives(pattern: str) -> list[str]:
+    """The parts of a pattern between the bars of its outermost level."""
+    out, depth, within, at, i = [], 0, False, 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+        elif within:
+            within = c != "]"
+        elif c == "[":
+            within = True
+            i += pattern[i + 1] in "]^"
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|" and not depth:
+            out.append(pattern[at:i])
+            at = i + 1
+        i += 1
+    return [*out, pattern[at:]]
+
+
+def _literals(item) -> tuple[set[str] | None, list[set[str]]]:
+    """All strings an item of a parsed pattern matches, None if they are not few; and sets of which each match holds a string each."""
+    op, arg = str(item[0]), item[1]
+    if op == "LITERAL":
+        return {fold(chr(arg))}, []
+    if op in ("AT", "ASSERT", "ASSERT_NOT"):
+        return {""}, []
+    if op == "IN" and all(str(k) == "LITERAL" for k, _ in arg) and len(arg) <= 4:
+        return {fold(chr(c)) for _, c in arg}, []
+    if op == "SUBPATTERN":
+        return _sequence(arg[3])
+    if op == "BRANCH":
+        parts = [_sequence(x) for x in arg[1]]
+        exact = None if any(e is None for e, _ in parts) else set().union(*(e for e, _ in parts))
+        needs = [_best([*n, e] if e is not None else n) for e, n in parts]
+        return exact if exact and len(exact) <= _MOST else None, [set().union(*needs)] if all(needs) else []
+    if op == "MAX_REPEAT":
+        low, high, inner = arg
+        exact, needs = _sequence(inner)
+        if exact is not None and low == 0 and high == 1:
+            return exact | {""}, []
+        if exact is not None and low and len(exact) == 1:
+            text = next(iter(exact)) * low
+            return ({text} if low == high else None), [{text}]
+        return None, [*needs, *([exact] if exact else [])] if low else []
+    return None, []
+
+
+def _sequence(items) -> tuple[set[str] | None, list[set[str]]]:
+    run, needs, whole = {""}, [], True
+    for item in items:
+        exact, more = _literals(item)
+        if exact is not None and len(run) * len(exact) <= _MOST:
+            run = {a + b for a in run for b in exact}
+            continue
+        needs += [run, *more]
+        run, whole = exact if exact is not None else {""}, False
+    return (run, needs) if whole else (None, [*needs, run])
+
+
+def _tidy(texts: set[str]) -> set[str]:
+    """Without outer white space, which may come from what replaces a quotation, and without texts that hold another."""
+    bare = {t.strip() for t in texts}
+    return {t for t in bare if not any(o != t and o in t for o in bare)}
+
+
+def _best(needs: list[set[str]]) -> set[str]:
+    """The set whose shortest string is longest; empty if no set tells anything."""
+    return max((t for n in needs if (t := _tidy(n)) and "" not in t), key=lambda t: (min(map(len, t)), -len(t)), default=set())
+
+
+def marks_of(alternative: str) -> tuple[set[str], list[set[str]]]:
+    """Folded strings of which each match of a grammar holds one, and all such sets; no strings where they are too common to tell."""
+    exact, needs = _sequence(re._parser.parse(alternative))
+    needs = [t for n in ([*needs, exact] if exact is not None else needs) if (t := _tidy(n)) and "" not in t]
+    best = _best(needs)
+    rare = best and all(len(m) > 2 or (len(m) == 2 and not (m.isascii() and m.isalnum())) for m in best)
+    return best if rare else set(), needs
+
+
+#: Each alternative of each grammar, its marks worked out from the grammar itself. A line without any mark is passed
+#: over, but for the grammars that have none (single braces, unknown tags, stack frames): these are searched themselves.
+ALTERNATIVES = [(a, 0) for p in PLACEHOLDERS for a in split_alternatives(p.replace("(?m)", ""))] + [(a, re.I) for p in FILLERS + ERRORS + NOTICES for a in split_alternatives(p.replace("(?m)", ""))]
+_WORKED = [(re.compile(a, re.M | flag), *marks_of(a)) for a, flag in ALTERNATIVES]
+MARKS = frozenset(m for _, marks, _ in _WORKED for m in marks) | {"lorem ipsum"}
+_BARE = [(grammar, needs) for grammar, marks, needs in _WORKED if not marks]
 #: Characters of lines kept in a worker's memory; past this it starts anew, which changes no result.
 MEMORY = 30_000_000
 
@@ -139,7 +224,8 @@ class Detector:
         hit = self.screened.get(line)
         if hit is None:
             raw = html.unescape(line) if "&" in line else line
-            hit = next(self.marks.iter(" " + raw.lower()), None) is not None or (("{" in raw or "<" in raw or "%" in raw) and _BARE.search(raw) is not None)
+            low = fold(raw)
+            hit = next(self.marks.iter(low), None) is not None or any(all(any(t in low for t in n) for n in needs) and grammar.search(raw) for grammar, needs in _BARE)
             self.size += len(line)
             if self.size > MEMORY:
                 self.forget()

@@ -170,3 +170,49 @@ def test_held_out_accuracy(spark):
     assert len(found & right) >= 0.95 * len(right) and len(found - right) <= 0.02 * len(right) + 1
     assert sum(out.get(("source_tag", 100_000 + i)) == t for i, (t, _) in enumerate(pairs)) >= 0.9 * len(pairs)
     assert garbled_fields(frame.limit(0), alias).count() == 0
+
+
+def _samples(items, rng, ahead):
+    """A text that a parsed pattern may match; ``ahead`` adds what look-aheads ask for."""
+    out = ""
+    for op, arg in items:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            chosen = rng.choice([(str(k), v) for k, v in arg if str(k) != "NEGATE"]) if str(arg[0][0]) != "NEGATE" else ("", 0)
+            out += chr(chosen[1]) if chosen[0] == "LITERAL" else chr(rng.randint(*chosen[1])) if chosen[0] == "RANGE" else "7" if str(chosen[1]) == "CATEGORY_DIGIT" else " " if str(chosen[1]) == "CATEGORY_SPACE" else "x" if chosen[0] else rng.choice(" x")
+        elif op == "SUBPATTERN":
+            out += _samples(arg[3], rng, ahead)
+        elif op == "BRANCH":
+            out += _samples(rng.choice(arg[1]), rng, ahead)
+        elif op == "MAX_REPEAT":
+            low, high, inner = arg
+            out += "".join(_samples(inner, rng, ahead) for _ in range(rng.randint(low, min(high, low + 2))))
+        elif op in ("NOT_LITERAL", "ANY"):
+            out += "x"
+        elif op == "ASSERT" and arg[0] > 0 and ahead:
+            out += _samples(arg[1], rng, ahead)
+    return out
+
+
+def test_residue_marks():
+
+    from tagloom.llm import residue
+
+    find, rng = residue.Detector(), random.Random(5)
+    for line in (
+        "Your title here", "Add description here", "The site is currently down.", "The server is temporarily down", "The page was not loaded.", "The file was not displayed.", "The page was not shown.", "'''Scripts are disabled'''",
+        "*Scripts must be enabled", "at a.b(File.py:12)", "at a.b(File.rb:12)", "PAGE NOT FOUND", "THİS PAGE COULD NOT BE DİSPLAYED",
+    ):
+        assert find.residue(line) is not None, line
+    for alternative, flag in residue.ALTERNATIVES:
+        grammar, parsed, matched = re.compile(alternative, re.M | flag), re._parser.parse(alternative), 0
+        for k in range(400):
+            body = _samples(parsed, rng, k % 2)
+            for line in (body, f"ab {body}", f"{body} XXX yyy", f"bis text hier {body} bis text hier"):
+                for text in (line, line.upper()) if flag else (line,):
+                    if "\n" not in text and grammar.search(text):
+                        matched += 1
+                        assert find.screen(text), (alternative, text)
+        assert matched, alternative
