@@ -13,9 +13,9 @@ import os
 from pyspark.sql import SparkSession
 
 from tagloom.control.filters import load_alias_overrides, parse_filter
-from tagloom.plans.pipeline import BASE, build
+from tagloom.plans.pipeline import BASE, REPORTS, build
 from tagloom.plans.views import alias_view, format_statistics, health
-from tagloom.sources.master import formats, mappings
+from tagloom.sources.master import formats
 from tagloom.sources.sinks import write_metadata, write_report, write_tables, write_view
 
 
@@ -43,7 +43,9 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> int:
     if "tag_status" not in tables:
         return 1
     write_report(tables.pop("alias_conflicts"), os.path.join(a.out, "alias_conflicts"))
-    master = {"tag_formats": formats(spark), "tag_type_format_mapping": mappings(spark)}
+    for name in REPORTS:
+        write_report(tables.pop(name), os.path.join(a.out, name))
+    master = {"tag_formats": formats(spark)}
     write_tables(tables | master, a.out)
     back = {n: spark.read.parquet(os.path.join(a.out, f"{n}.parquet")) for n in [*tables, *master]}
     status = back["tag_status"].selectExpr("*", "cast(null as timestamp) as created_at", "cast(null as timestamp) as updated_at")

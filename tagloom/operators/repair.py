@@ -112,3 +112,69 @@ def placeholder_repair(tags: DataFrame, status: DataFrame, usage: DataFrame, tra
     manual = held.select("tag_id", *no_format, F.lit("has_extra_rows_needs_manual").alias("action"))
     done = marks.join(status.select("tag_id"), "tag_id", "left_semi").join(held, "tag_id", "left_anti").select("tag_id", *no_format, F.lit("delete_placeholder_after_repair").alias("action"))
     return bare.unionByName(first).unionByName(moved).unionByName(manual).unionByName(done)
+
+
+def map_missing(status: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mapping with a row for every (format, type) pair in use, and the report of ``missing_mappings``."""
+    report = missing_mappings(status, mapping)
+    added = report.select("format_id", "type_id", "type_name_id", F.concat(F.lit("auto-added ("), "reason", F.lit(")")).alias("description"))
+    return mapping.select("format_id", "type_id", "type_name_id", "description").unionByName(added), report
+
+
+def turn_to_base(status: DataFrame, tags: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The status with the rows of ``prefix_to_base`` turned, and a report with the names and targets before and after.
+
+    ``status`` holds one row a (tag, format). Prefixes without a name behind them are no case.
+    """
+    name = tags.select("tag_id", "tag")
+    target = lambda c: name.select(F.col("tag_id").alias(f"{c}_tag_id"), F.col("tag").alias(f"{c}_tag"))
+    change = prefix_to_base(status, tags, index).select("tag_id", "format_id", F.col("alias").alias("new_alias"), F.col("preferred_tag_id").alias("new_preferred_tag_id"), "reason")
+    before = status.select("tag_id", "format_id", F.col("preferred_tag_id").alias("old_preferred_tag_id"))
+    full = change.join(before, ["tag_id", "format_id"]).join(name, "tag_id").join(target("old_preferred"), "old_preferred_tag_id").join(target("new_preferred"), "new_preferred_tag_id")
+    turned = F.col("reason") == "prefix_to_base"
+    only = lambda c: F.when(turned, F.col(c)).alias(c)
+    report = full.where(F.coalesce(strip_category_prefix(F.col("old_preferred_tag")), strip_category_prefix(F.col("tag"))).isNotNull()).select(
+        "format_id", "tag_id", "tag", "old_preferred_tag_id", "old_preferred_tag", only("new_preferred_tag_id"), only("new_preferred_tag"), only("new_alias"), "reason"
+    )
+    to = change.where(turned).select("tag_id", "format_id", "new_alias", "new_preferred_tag_id")
+    out = status.join(to, ["tag_id", "format_id"], "left").withColumn("alias", F.coalesce("new_alias", "alias")).withColumn("preferred_tag_id", F.coalesce("new_preferred_tag_id", "preferred_tag_id"))
+    return out.select(*status.columns), report
+
+
+def rename_to_base(tags: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The tags with the names of ``rename_orphans``, and its report."""
+    report = rename_orphans(tags).select("tag_id", F.col("tag").alias("old_tag"), "new_tag", F.lit("rename_prefix_to_base").alias("reason"))
+    out = tags.join(report.select("tag_id", "new_tag"), "tag_id", "left").withColumn("tag", F.coalesce("new_tag", "tag"))
+    return out.select(*tags.columns), report
+
+
+def replace_placeholders(tags: DataFrame, status: DataFrame, usage: DataFrame, translations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Tags, status and counts with the actions of ``placeholder_repair`` done, and their report.
+
+    A placeholder with status goes only when nothing refers to it any more,
+    other tags' preference included; counts of one without status are left as
+    they are. A count that moves raises that of the preferred tag or becomes it.
+    """
+    listed = status.select("tag_id").distinct()
+    actions = placeholder_repair(tags, status, usage, translations).where("action <> 'delete_placeholder_after_repair'")
+    about = F.col("action").isin("delete_usage_count_unmappable", "move_usage_count_to_preferred", "has_extra_rows_needs_manual")
+    actions = actions.where(~about).unionByName(actions.where(about).join(listed, "tag_id", "left_semi").select(*actions.columns))
+    of = lambda *names: actions.where(F.col("action").isin(*names))
+    # status
+    done = of("delete_invalid_self_preferred", "delete_redundant_status", "reassign_status_to_preferred").select("tag_id", "format_id", "action")
+    kept = status.join(done.select("tag_id", "format_id"), ["tag_id", "format_id"], "left_anti").select(*status.columns)
+    handed = status.join(done.where("action = 'reassign_status_to_preferred'"), ["tag_id", "format_id"]).withColumn("tag_id", F.col("preferred_tag_id")).withColumn("alias", F.lit(0).cast(dict(status.dtypes)["alias"]))
+    new_status = kept.unionByName(handed.select(*status.columns))
+    # counts
+    counted = of("delete_usage_count_unmappable", "move_usage_count_to_preferred").select("tag_id", "format_id", F.col("preferred_tag_id").alias("to"), "action")
+    still = usage.join(counted.select("tag_id", "format_id"), ["tag_id", "format_id"], "left_anti").select(*usage.columns)
+    moved = usage.join(counted.where("action = 'move_usage_count_to_preferred'"), ["tag_id", "format_id"]).groupBy(F.col("to").alias("tag_id"), "format_id").agg(F.max("count").alias("moved"))
+    new_usage = still.join(moved, ["tag_id", "format_id"], "full").withColumn("count", F.greatest("count", "moved")).select(*usage.columns)
+    # tags
+    repaired = done.select("tag_id").distinct()
+    used = new_status.select("tag_id").unionByName(new_status.select(F.col("preferred_tag_id").alias("tag_id"))).unionByName(translations.select("tag_id")).unionByName(new_usage.select("tag_id"))
+    free = repaired.join(used, "tag_id", "left_anti")
+    none = F.lit(None).cast("long")
+    gone = of("delete_placeholder_only").unionByName(free.select("tag_id", none.alias("format_id"), none.alias("preferred_tag_id"), F.lit("delete_placeholder_after_repair").alias("action")))
+    report = actions.where("action <> 'delete_placeholder_only'").unionByName(gone).join(tags.select("tag_id", F.col("tag").alias("placeholder_tag")), "tag_id")
+    return tags.join(gone.select("tag_id"), "tag_id", "left_anti").select(*tags.columns), new_status, new_usage, report

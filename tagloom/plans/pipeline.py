@@ -14,7 +14,9 @@ from tagloom.operators.clean import script_filter, split_values
 from tagloom.operators.ids import dense_ids, next_id
 from tagloom.operators.merge import greatest_wins, insert_or_ignore, last_wins
 from tagloom.operators.register import tag_index
+from tagloom.operators.repair import map_missing, rename_to_base, replace_placeholders, turn_to_base
 from tagloom.sources.files import unpivot_translations
+from tagloom.sources.master import mappings, seed
 from tagloom.sources.sqlite import read_site, site_format
 from tagloom.tables import Scratch
 
@@ -25,8 +27,11 @@ USAGE = "tag_id long, format_id long, count long, source_created_at string, sour
 TRANSLATIONS = "translation_id long, tag_id long, language string, translation string, created_at timestamp, updated_at timestamp"
 NO_ROWS = "src int, ord long, source_tag string, format_id long, type_id long, count long, aliases array<string>, deprecated int, source_created_at string, source_updated_at string"
 NO_CONFLICTS = "alias string, selected string, rejected string, reason string, site string"
+MAPPING = "format_id long, type_id long, type_name_id long, description string"
+#: What the four repairs did, in their order.
+REPORTS = ("missing_type_format_mapping_repairs", "non_e621_prefix_repairs", "prefix_tag_renames", "placeholder_repairs")
 #: The tables that a build adds to.
-BASE = {"tags": TAGS, "tag_status": STATUS, "tag_usage_counts": USAGE, "tag_translations": TRANSLATIONS}
+BASE = {"tags": TAGS, "tag_status": STATUS, "tag_usage_counts": USAGE, "tag_translations": TRANSLATIONS, "tag_type_format_mapping": MAPPING}
 
 
 def in_schema(spark: SparkSession, df: DataFrame | None, schema: str) -> DataFrame:
@@ -48,7 +53,8 @@ def build(spark: SparkSession, root: str, base: dict[str, DataFrame] | None = No
     counts and translations against the full index. The order of sites, rows
     and aliases is an explicit column, and each table is one aggregation.
     Returns tags, tag_status, tag_usage_counts, tag_translations,
-    alias_conflicts and skipped_sources.
+    tag_type_format_mapping, alias_conflicts, skipped_sources and the
+    ``REPORTS`` of the repairs that end the build.
     """
     scratch = Scratch(spark)
     rows, told, conflicts, skipped = [], [], [], []
@@ -106,5 +112,13 @@ def build(spark: SparkSession, root: str, base: dict[str, DataFrame] | None = No
         none = F.lit(None).cast("timestamp")
         translations = translations.unionByName(ids.select("translation_id", "tag_id", "language", "translation", none.alias("created_at"), none.alias("updated_at")))
     # rows of the base without a text are no matter of the cleanup and stay
-    out["tag_translations"] = split_values(script_filter(translations)).unionByName(translations.where("translation is null"))
-    return out
+    translations = out["tag_translations"] = scratch.put(split_values(script_filter(translations)).unionByName(translations.where("translation is null")))
+    # repairs, each on what the one before it left
+    status, usage = scratch.put(status), scratch.put(usage)
+    known_types = scratch.put(seed(held["tag_type_format_mapping"], mappings(spark), ["format_id", "type_id"]))
+    out["tag_type_format_mapping"], unmapped = map(scratch.put, map_missing(status, known_types))
+    status, turned = map(scratch.put, turn_to_base(status, tags, index))
+    tags, renamed = map(scratch.put, rename_to_base(tags))
+    tags, status, usage, replaced = map(scratch.put, replace_placeholders(tags, status, usage, translations))
+    out |= {"tags": tags, "tag_status": status, "tag_usage_counts": usage}
+    return out | dict(zip(REPORTS, (unmapped, turned, renamed, replaced)))

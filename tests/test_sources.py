@@ -4,6 +4,7 @@ import sqlite3
 import pytest
 
 from tagloom.control import filters
+from tagloom.plans import pipeline
 from tagloom.plans.pipeline import build
 from tagloom.sources import files, sinks
 from tagloom.sources.sqlite import detect_shape, read_site, read_table, site_format
@@ -185,3 +186,32 @@ def test_build_on_base(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "c" / "view.parquet")).count() == spark.read.parquet(str(tmp_path / "b" / "view.parquet")).count() > 0
     # onto itself
     assert command("none", "c", "--base", str(tmp_path / "c")) == 0 and table("c", "tag_status").count() == 4
+
+
+def test_build_repairs(spark, tmp_path):
+    database(tmp_path / "yande.re" / "tags.sqlite", {"tags": ("name TEXT, count INTEGER, type INTEGER", [("artist:ann", 3, 1), ("ann", 2, 1), ("copyright:only", 4, 3), ("odd", 1, 5), ("lost", 1, 99)])})
+    tags = [(1, "p1", "__missing_tag_id_1__"), (2, "p2", "__missing_tag_id_2__"), (3, "p3", "__missing_tag_id_3__"), (4, "p4", "__missing_tag_id_4__"), (5, "good", "good"), (6, "best", "best"), (7, "p7", "__missing_tag_id_7__"), (8, "p8", "__missing_tag_id_8__")]
+    status = [(1, 1, 0, 1, 5, 0, None), (2, 1, 0, 1, 6, 0, None), (6, 1, 0, 0, 6, 0, None), (3, 1, 0, 1, 3, 0, None), (7, 1, 0, 1, 6, 0, None), (8, 3, 0, 1, 8, 0, None), (5, 4, 0, 1, 8, 1, None)]
+    usage = [(1, 1, 9, None, None), (2, 1, 8, None, None), (6, 1, 5, "a", "b"), (3, 1, 7, None, None)]
+    told = [(1, 7, "ja", "猫", None, None)]
+    base = {
+        "tags": spark.createDataFrame(tags, pipeline.TAGS), "tag_status": spark.createDataFrame(status, pipeline.STATUS), "tag_usage_counts": spark.createDataFrame(usage, pipeline.USAGE),
+        "tag_translations": spark.createDataFrame(told, pipeline.TRANSLATIONS),
+    }
+    out = build(spark, str(tmp_path), base)
+    ids = {r["tag"]: r["tag_id"] for r in out["tags"].collect()}
+    # 8 is still preferred by another tag, 7 has a translation
+    assert set(ids) == {"artist:ann", "ann", "only", "odd", "lost", "good", "best", "__missing_tag_id_7__", "__missing_tag_id_8__"}
+    rows = {(r["tag_id"], r["format_id"]): (r["alias"], r["preferred_tag_id"]) for r in out["tag_status"].collect()}
+    named = {n: rows[ids[n], 16] for n in ("artist:ann", "ann", "only")}
+    assert named == {"artist:ann": (1, ids["ann"]), "ann": (0, ids["ann"]), "only": (0, ids["only"])}
+    assert {k: v for k, v in rows.items() if k[1] != 16} == {(5, 1): (0, 5), (6, 1): (0, 6), (5, 4): (1, 8)}
+    assert {(r["tag_id"], r["count"]) for r in out["tag_usage_counts"].where("format_id = 1").collect()} == {(5, 9), (6, 8)}
+    assert {(r["format_id"], r["type_id"], r["type_name_id"], r["reason"]) for r in out["missing_type_format_mapping_repairs"].collect()} == {(16, 99, 0, "fallback_unknown")}
+    assert out["tag_type_format_mapping"].count() == 97
+    assert {(r["tag"], r["new_preferred_tag"], r["reason"]) for r in out["non_e621_prefix_repairs"].collect()} == {("artist:ann", "ann", "prefix_to_base"), ("copyright:only", None, "base_tag_not_found")}
+    assert [(r["old_tag"], r["new_tag"]) for r in out["prefix_tag_renames"].collect()] == [("copyright:only", "only")]
+    assert sorted((r["tag_id"], r["action"]) for r in out["placeholder_repairs"].collect()) == [
+        (1, "delete_placeholder_after_repair"), (1, "move_usage_count_to_preferred"), (1, "reassign_status_to_preferred"), (2, "delete_placeholder_after_repair"), (2, "delete_redundant_status"), (2, "move_usage_count_to_preferred"),
+        (3, "delete_invalid_self_preferred"), (3, "delete_placeholder_after_repair"), (3, "delete_usage_count_unmappable"), (4, "delete_placeholder_only"), (7, "delete_redundant_status"), (7, "has_extra_rows_needs_manual"), (8, "delete_invalid_self_preferred"),
+    ]
