@@ -30,7 +30,8 @@ from tagloom.tables import Scratch
 SINGLE_PAGES = ("cp1252", "cp1251", "cp1250", "mac_roman", "cp437", "cp850", "cp866", "koi8_r", "iso8859_5", "iso8859_7")
 WIDE_PAGES = ("cp932", "gbk", "cp949", "big5")
 WIDE_SOURCES = ("cp932", "euc_jp", "cp949", "gbk", "big5")
-LETTER_SOURCES = ("cp1251", "koi8_r", "iso8859_5", "cp866", "cp1253", "mac_cyrillic")
+#: Pages of which any may be taken for any other.
+LETTER_PAGES = ("cp1252", "cp1251", "koi8_r", "iso8859_5", "cp866", "cp1253", "mac_cyrillic", "cp1250", "mac_roman", "cp437", "cp850", "iso8859_7")
 
 MAX_DEPTH = 3
 #: Marks the counts of swaps among those of letters.
@@ -78,14 +79,6 @@ def may_hold_utf8(page: str) -> regex.Pattern:
     return regex.compile(f"[{regex.escape(''.join(lead), literal_spaces=True)}][{regex.escape(''.join(tail), literal_spaces=True)}]")
 
 
-def may_be_coded(s: str) -> bool:
-    """Whether at least a fifth of some piece is high characters of the Western page.
-
-    A piece that came from another script has them in every second place, or all.
-    """
-    return any(5 * sum(ord(c) > 127 and page_byte(c, "cp1252") >= 0 for c in piece) >= len(piece) for piece in PIECE.split(s) if piece and not piece.isascii())
-
-
 def undo_utf8(s: str, page: str) -> str:
     """The text with every valid UTF-8 sequence among its bytes decoded; the rest stays as it is."""
     codes = [page_byte(c, page) for c in s]
@@ -149,22 +142,37 @@ def undo_wide(s: str, source: str) -> str | None:
 
 
 @lru_cache(maxsize=None)
-def letter_table(source: str) -> dict[int, str]:
-    """What each high character of the Western page was in another page, where that is a letter."""
+def page_letters(page: str) -> frozenset[str]:
+    """The high characters of a single-byte page. Undefined bytes are shown as control characters."""
+    return frozenset(chr(b) if (c := bytes([b]).decode(page, "replace")) == LOST else c for b in range(128, 256))
+
+
+@lru_cache(maxsize=None)
+def letter_table(source: str, page: str) -> dict[int, str]:
+    """What each high character of a page was in another page, where that is a letter."""
     out = {}
     for b in range(128, 256):
-        was, shown = bytes([b]).decode(source, "replace"), bytes([b]).decode("cp1252", "replace")
+        was, shown = bytes([b]).decode(source, "replace"), bytes([b]).decode(page, "replace")
         if was.isalpha():
             out[ord(shown) if shown != LOST else b] = was
     return out
 
 
-def undo_letters(s: str, source: str) -> str | None:
-    """A single-byte text read in another single-byte page: a substitution of letters for letters, the rest stays."""
-    table = letter_table(source)
-    text = s.translate(table)
-    whole = all(t != c for c, t in zip(s, text) if ord(c) > 127 and c.isalpha() and page_byte(c, "cp1252") >= 0)
-    return text if whole and text != s else None
+def undo_letters(s: str) -> Iterator[tuple[str, str]]:
+    """``(swap, text)``: a single-byte text read in another single-byte page, for all ordered pairs of pages.
+
+    Such a swap is a substitution; all high letters are of the page that shows them and were letters; signs that were none stay.
+    """
+    high = {c for c in s if ord(c) > 127}
+    letters = {c for c in high if c.isalpha()}
+    for page in LETTER_PAGES:
+        shown = page_letters(page)
+        if not letters <= shown or high.isdisjoint(shown):
+            continue
+        for source in LETTER_PAGES:
+            table = letter_table(source, page)
+            if source != page and all(ord(c) in table for c in letters) and (text := s.translate(table)) != s:
+                yield f"{source}>{page}", text
 
 
 def undo_wide_page(s: str, page: str) -> str | None:
@@ -204,28 +212,29 @@ def candidates(s: str) -> list[tuple[str, str]]:
     found: dict[str, str] = {}
     ended = regex.sub("([ÃРà√])(?=[ _]|$)", "\\1" + chr(0xA0), s)  # a no-break space that was trimmed or folded away
     for t in dict.fromkeys((s, ended)):
-        for page in SINGLE_PAGES:
-            if not may_hold_utf8(page).search(t):
-                continue
-            for kind, undo in (("", undo_utf8), ("~", undo_recased)):
-                now, path = t, ""
-                for _ in range(MAX_DEPTH):
-                    then = undo(now, page)
-                    if then == now:
-                        break
-                    now, path = then, f"{path}utf-8>{page}{kind} "
-                    found.setdefault(now, path.strip())
+        layer = {t: ""}
+        for _ in range(MAX_DEPTH):  # each layer may have been read in another page
+            under: dict[str, str] = {}
+            for now, path in layer.items():
+                for page in SINGLE_PAGES:
+                    if not may_hold_utf8(page).search(now):
+                        continue
+                    for kind, undo in (("", undo_utf8), ("~", undo_recased)):
+                        then = undo(now, page)
+                        if then != now and then not in found:
+                            found[then] = f"{path}utf-8>{page}{kind}"
+                            under[then] = found[then] + " "
+            layer = under
         for page in WIDE_PAGES:
             if (r := undo_wide_page(t, page)) is not None:
                 found.setdefault(r, f"utf-8>{page}")
-    if may_be_coded(s):
+    if not page_letters("cp1252").isdisjoint(s):
         for source in WIDE_SOURCES:
             for t, kind in ((s, ""), (s.upper(), "~")):
                 if (r := undo_wide(t, source)) is not None:
                     found.setdefault(r, f"{source}>cp1252{kind}")
-        for source in LETTER_SOURCES:
-            if (r := undo_letters(s, source)) is not None:
-                found.setdefault(r, f"{source}>cp1252")
+    for kind, r in undo_letters(s):
+        found.setdefault(r, kind)
     found.pop(s, None)
     # a text that came about by a swap holds no control characters and no private or unassigned ones
     return [(k, t) for t, k in found.items() if not any(unicodedata.category(c) in ("Cc", "Cn", "Co", "Cs") for c in t if c not in "\t\n")]
@@ -370,7 +379,7 @@ def garbled_values(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             for pdf in batches:
                 for v, cands in zip(pdf["value"], pdf["cands"]):
                     options = [(c["swap"], c["text"]) for c in cands]
-                    p = posterior(v, options, letters, shares or {k: PRIOR / 20 for k, _ in options})
+                    p = posterior(v, options, letters, shares or {k: PRIOR / max(20, len(options)) for k, _ in options})
                     out[SWAP, "clean"] += p[0]
                     for q, (k, t) in zip(p, [("clean", v), *options]):
                         if q > 1e-3:

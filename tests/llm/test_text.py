@@ -172,6 +172,36 @@ def test_held_out_accuracy(spark):
     assert garbled_fields(frame.limit(0), alias).count() == 0
 
 
+def test_swaps_of_single_byte_pages_and_chains():
+    for text, source, page in (
+        ("привет_мир", "koi8_r", "cp1251"), ("привет_мир", "cp866", "cp1251"), ("привет_мир", "cp1251", "koi8_r"), ("joséphine", "cp1252", "cp1251"), ("joséphine", "cp1252", "cp437"), ("joséphine", "cp1252", "mac_roman"),
+        ("łódź", "cp1250", "cp1252"), ("καλημερα", "cp1253", "cp1251"),
+    ):
+        garbled = text.encode(source).decode(page)
+        assert (f"{source}>{page}", text) in candidates(garbled), (text, source, page)
+    for pages in (("cp1252", "mac_roman"), ("cp437", "cp1252"), ("mac_roman", "cp1252", "cp1252")):
+        garbled = "drêmi"
+        for page in pages:
+            garbled = garbled.encode().decode(page)
+        assert "drêmi" in [t for _, t in candidates(garbled)], pages
+
+
+def test_learned_swaps_of_single_byte_pages(spark):
+    random.seed(12)
+    latin = lambda: "".join(random.choice(["k", "tr", "p", "l", "z"]) + random.choice("aeiouéûïâ") for _ in range(4))
+    cyrillic = lambda: "".join(random.choice("бвгджзклмн") + random.choice("аеиоуы") for _ in range(4))
+    clean_names = [f() for _ in range(1500) for f in (latin, cyrillic)]
+    pairs = []
+    for f, source, page in ((cyrillic, "koi8_r", "cp1251"), (cyrillic, "cp866", "cp1251"), (latin, "cp1252", "cp1251"), (latin, "cp1252", "cp437"), (latin, "cp1252", "mac_roman")):
+        names = [n for n in (f() for _ in range(80)) if not n.isascii()][:40]
+        pairs += [(n, n.encode(source).decode(page)) for n in names]
+    rows = [(i, c, None) for i, c in enumerate(clean_names)] + [(100_000 + i, g, None) for i, (_, g) in enumerate(pairs)]
+    out = {r["row_id"]: r["restored"] for r in garbled_fields(spark.createDataFrame(rows, "tag_id long, source_tag string, tag string"), spark.createDataFrame([], "alias_index long, alias string")).collect()}
+    right = {100_000 + i for i in range(len(pairs))}
+    assert len(out.keys() & right) >= 0.9 * len(right) and len(out.keys() - right) <= 0.02 * len(right) + 1, (len(out.keys() & right), len(right), len(out.keys() - right))
+    assert sum(out.get(100_000 + i) == t for i, (t, _) in enumerate(pairs)) >= 0.9 * len(pairs)
+
+
 def _samples(items, rng, ahead):
     """A text that a parsed pattern may match; ``ahead`` adds what look-aheads ask for."""
     out = ""
