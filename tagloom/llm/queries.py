@@ -31,8 +31,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_fused(spark: SparkSession, d: str) -> DataFrame:
-    """The tag of greatest posterior for each group, by fusion over the formats that list it."""
-    return fuse(claims(load(spark, d, "tags"), load(spark, d, "tag_status"), "tag"))
+    """The source_tag and tag of greatest posterior for each group, by fusion over the formats that list it."""
+    tags, status = load(spark, d, "tags"), load(spark, d, "tag_status")
+    of = lambda field: fuse(claims(tags, status, field)).select(F.lit(field).alias("field_name"), "*")
+    return of("source_tag").unionByName(of("tag"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

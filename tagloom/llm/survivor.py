@@ -84,6 +84,31 @@ def _pair_counts(voted: DataFrame) -> DataFrame:
     return parts.groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("same_true", "same_false", "differ")))
 
 
+def _votes(claimed: DataFrame, weight: dict[int, float], originals: dict[int, dict[int, float]]) -> DataFrame:
+    """``canon, value, score``: the sum of the weights of the sources that claim a value.
+
+    ``originals`` has, for each source, the better ones it may have copied from
+    and how probably. A vote is discounted for each of them that makes the same
+    claim, and for no other. A value's sources are one array, no longer than
+    the number of sources; each combination is worked out once.
+    """
+    sent = claimed.sparkSession.sparkContext.broadcast((weight, originals))
+    per_value = claimed.groupBy("canon", "value").agg(F.array_sort(F.collect_set("source")).alias("s"))
+
+    def score(batches):
+        weights, of = sent.value
+        known: dict[tuple[int, ...], float] = {}
+        for pdf in batches:
+            out = []
+            for key in map(tuple, pdf["s"]):
+                if key not in known:
+                    known[key] = sum(weights[x] * math.prod(1 - COPY_RATE * of.get(x, {}).get(y, 0.0) for y in key if y != x) for x in key)
+                out.append(known[key])
+            yield pdf[["canon", "value"]].assign(score=out)
+
+    return per_value.mapInPandas(score, "canon string, value string, score double")
+
+
 def fuse(claimed: DataFrame, rounds: int = 3, max_sources: int = 1000) -> DataFrame:
     """``canon, value, probability``: the value of greatest posterior for each group.
 
@@ -93,8 +118,8 @@ def fuse(claimed: DataFrame, rounds: int = 3, max_sources: int = 1000) -> DataFr
     probabilities within the group; re-estimates each source's accuracy as the
     mean probability of its claims; and re-estimates the dependence of each two
     sources from how often they share false values, which independent sources
-    seldom do. Source tables hold at most ``max_sources`` rows, else an error:
-    only they are broadcast. Ties go to the greater text. Values without a
+    seldom do. There are at most ``max_sources`` sources, else an error: only
+    tables of them and of their pairs are broadcast. Ties go to the greater text. Values without a
     claim do not arise; an empty table gives an empty one.
     """
     scratch = Scratch(claimed.sparkSession)
@@ -102,13 +127,12 @@ def fuse(claimed: DataFrame, rounds: int = 3, max_sources: int = 1000) -> DataFr
     sources = claimed.select("source").distinct()
     if sources.limit(max_sources + 1).count() > max_sources:
         raise ValueError(f"more than {max_sources} sources")
-    accuracy = sources.select("source", F.lit(START_ACCURACY).alias("acc"))
-    copied = sources.select("source", F.lit(0.0).alias("dependence"))
+    accuracy = {r["source"]: START_ACCURACY for r in sources.collect()}  # one row a source
+    originals: dict[int, dict[int, float]] = {}
     voted = None
     for k in range(rounds):
-        weight = F.log(F.lit(FALSE_VALUES) * F.col("acc") / (1 - F.col("acc"))) * (1 - F.lit(COPY_RATE) * F.col("dependence"))
-        weights = scratch.put(accuracy.join(copied, "source").select("source", weight.alias("w")).coalesce(1))
-        votes = claimed.join(F.broadcast(weights), "source").groupBy("canon", "value").agg(F.sum("w").alias("score"))
+        weight = {x: math.log(FALSE_VALUES * acc / (1 - acc)) for x, acc in accuracy.items()}
+        votes = scratch.put(_votes(claimed, weight, originals))
         top = votes.groupBy("canon").agg(F.max("score").alias("top"))
         mass = votes.join(top, "canon").withColumn("e", F.exp(F.col("score") - F.col("top")))
         norm = mass.groupBy("canon").agg(F.sum("e").alias("total"))
@@ -117,11 +141,13 @@ def fuse(claimed: DataFrame, rounds: int = 3, max_sources: int = 1000) -> DataFr
             best = posterior.groupBy("canon").agg(F.max(F.struct("p", "value")).alias("b"))
             return best.select("canon", "b.value", F.col("b.p").alias("probability"))
         voted = scratch.put(claimed.join(posterior, ["canon", "value"]))
-        accuracy = voted.groupBy("source").agg(F.sum(F.col("p") * F.col("n")).alias("s"), F.sum("n").alias("m")).select(
+        means = voted.groupBy("source").agg(F.sum(F.col("p") * F.col("n")).alias("s"), F.sum("n").alias("m")).select(
             "source", F.greatest(F.lit(0.05), F.least(F.lit(0.95), F.col("s") / F.col("m"))).alias("acc")
         )
+        accuracy = {r["source"]: r["acc"] for r in means.collect()}  # one row a source
+        means = claimed.sparkSession.createDataFrame(list(accuracy.items()), "source long, acc double")
         pairs = _pair_counts(voted)
-        acc_a, acc_b = accuracy.select(F.col("source").alias("a"), F.col("acc").alias("acc_a")), accuracy.select(F.col("source").alias("b"), F.col("acc").alias("acc_b"))
+        acc_a, acc_b = (means.select(F.col("source").alias(x), F.col("acc").alias(f"acc_{x}")) for x in "ab")
         linked = pairs.join(F.broadcast(acc_a), "a").join(F.broadcast(acc_b), "b")
         # likelihood of copying against independence, from shared true, shared false and differing values
         c, origin = COPY_RATE, F.greatest("acc_a", "acc_b")
@@ -132,7 +158,9 @@ def fuse(claimed: DataFrame, rounds: int = 3, max_sources: int = 1000) -> DataFr
             + F.col("differ") * math.log(1 - c)
         )
         odds = F.exp(F.least(F.lit(50.0), F.greatest(F.lit(-50.0), ratio))) * (COPY_PRIOR / (1 - COPY_PRIOR))
-        copier = linked.select(F.when(F.col("acc_a") < F.col("acc_b"), F.col("a")).otherwise(F.col("b")).alias("source"), (odds / (1 + odds)).alias("dep"))
-        copied = sources.join(copier.groupBy("source").agg(F.max("dep").alias("dependence")), "source", "left").select("source", F.coalesce("dependence", F.lit(0.0)).alias("dependence"))
-        accuracy, copied = scratch.put(accuracy.coalesce(1)), scratch.put(copied.coalesce(1))
+        a_copies = F.col("acc_a") < F.col("acc_b")
+        copier = linked.select(F.when(a_copies, F.col("a")).otherwise(F.col("b")).alias("source"), F.when(a_copies, F.col("b")).otherwise(F.col("a")).alias("original"), (odds / (1 + odds)).alias("dep"))
+        originals = {}
+        for r in copier.collect():  # one row a pair of sources
+            originals.setdefault(r["source"], {})[r["original"]] = r["dep"]
     return posterior

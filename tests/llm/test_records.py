@@ -80,6 +80,21 @@ def test_fusion_discounts_copied_votes(spark):
     assert fuse(claimed.limit(0)).count() == 0
 
 
+def test_copied_votes_only_are_discounted(spark):
+    from tagloom.llm.survivor import COPY_RATE, _votes
+
+    rows = [("same", 1, "x"), ("same", 2, "x"), ("same", 3, "y"), ("other", 1, "z"), ("other", 2, "x"), ("alone", 2, "x")]
+    claimed = spark.createDataFrame([(c, s, v, 1) for c, s, v in rows], "canon string, source long, value string, n long")
+    out = {(r["canon"], r["value"]): r["score"] for r in _votes(claimed, {1: 3.0, 2: 2.0, 3: 2.0}, {2: {1: 0.9, 3: 0.5}}).collect()}
+    assert out == pytest.approx({("same", "x"): 3.0 + 2.0 * (1 - COPY_RATE * 0.9), ("same", "y"): 2.0, ("other", "z"): 3.0, ("other", "x"): 2.0, ("alone", "x"): 2.0})
+
+
+def test_both_fields_are_fused(spark):
+    out = queries.p3_fused(spark, "/root/testdata/sf0.001")
+    fields = {r["field_name"]: r["n"] for r in out.groupBy("field_name").agg(F.count("*").alias("n")).collect()}
+    assert fields.keys() == {"source_tag", "tag"} and min(fields.values()) > 0
+
+
 def test_claims(spark):
     df = tags(spark, [(1, None, "a b"), (2, None, "B A"), (3, "x", " ")])
     status = spark.createDataFrame([(1, 7), (1, 8), (1, 8)], "tag_id long, format_id long")
