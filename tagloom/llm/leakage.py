@@ -1,10 +1,13 @@
 """Evaluation texts leaking into training text.
 
-The words of a batch of documents become numbers, sorted suffixes of that
-sequence form a suffix array, and every suffix of every test item is looked up
-in it by binary search. A suffix can only match if its first words all occur
-in some item, so the array holds no other suffixes; that leaves it exact and
-small.
+The words of a batch of documents become numbers. Places whose next words open
+with those of some item are found by binary search in the items' sorted first
+words; no other place can start a match. The passages at these places and all
+items then form one suffix array, built by prefix doubling over the word
+numbers, and each place looks up its two neighbours among the suffixes of an
+item by binary search. The longer of the two common prefixes is the longest
+verbatim match there, so no pairs of places are formed, however repetitive a
+text is.
 """
 
 from __future__ import annotations
@@ -35,24 +38,59 @@ def keys(ids: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return np.ascontiguousarray(window.astype(">u4")).view(f"S{4 * n}").ravel()
 
 
+def rank_levels(ids: np.ndarray, longest: int) -> list[np.ndarray]:
+    """Ranks of all suffixes by their first 1, 2, 4, ... numbers, up to the first power beyond ``longest``: prefix doubling."""
+    levels = [np.unique(ids, return_inverse=True)[1]]
+    while 1 << (len(levels) - 1) <= longest:
+        step, now = 1 << (len(levels) - 1), levels[-1]
+        after = np.zeros(len(now), np.int64)
+        after[:-step] = now[step:] + 1
+        levels.append(np.unique(now << 32 | after, return_inverse=True)[1])
+    return levels
+
+
+def common_prefix(levels: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many numbers the suffixes at ``a`` and ``b`` share, the greatest power of two first."""
+    a, b, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
+    for k in range(len(levels) - 1, -1, -1):
+        inside = (a < len(levels[k])) & (b < len(levels[k]))
+        same = np.zeros(len(a), bool)
+        same[inside] = levels[k][a[inside]] == levels[k][b[inside]]
+        step = same.astype(np.int64) << k
+        a, b, out = a + step, b + step, out + step
+    return out
+
+
+NONE = pd.DataFrame({"doc": [], "item_id": [], "n_words": [], "at": []}, dtype="int64")
+#: Lookups (places times the items that share their first words) worked on at once, which bounds memory and changes no result.
+LOOKUPS = 2_000_000
+
+
 class Items:
-    """The test items as one sequence of word numbers, and its suffixes of at least n words."""
+    """The test items as one sequence of word numbers, each closed by a number of its own, and the sorted first n words of its suffixes."""
 
     def __init__(self, rows: list[tuple[int, str]], n: int):
         self.n = n
         self.index: dict[str, int] = {}
+        self.names = np.unique(np.array([i for i, _ in rows], np.int64))
         ids, owner, left = [], [], []
-        for item, text in rows:
+        for k, (item, text) in enumerate(rows):
             own = [self.index.setdefault(w, len(self.index)) for w in words(visible(text or ""))]
-            ids += own
-            owner += [item] * len(own)
-            left += range(len(own), 0, -1)
+            ids += [*own, -1 - k]
+            owner += [int(np.searchsorted(self.names, item))] * (len(own) + 1)
+            left += range(len(own), -1, -1)
         self.ids, self.owner, self.left = np.array(ids, np.int64), np.array(owner, np.int64), np.array(left, np.int64)
         self.starts = np.flatnonzero(self.left >= n)
-        self.keys = keys(self.ids, self.starts, n) if len(self.starts) else np.zeros(0, f"S{4 * n}")
+        self.longest = int(self.left.max(initial=0))
+        found = keys(self.ids, self.starts, n) if len(self.starts) else np.zeros(0, f"S{4 * n}")
+        self.keys, group = np.unique(found, return_inverse=True)
+        # the items that hold each of these openings, as ranges of one array
+        held = np.unique(group.astype(np.int64) << 32 | self.owner[self.starts]) if len(group) else np.zeros(0, np.int64)
+        self.holders = held & 0xFFFFFFFF
+        self.first = np.searchsorted(held >> 32, np.arange(len(self.keys) + 1))
 
     def search(self, texts: list[str | None]) -> pd.DataFrame:
-        """``doc, item_id, n_words, at``: the longest match of each item in each text, and the word where it starts."""
+        """``doc, item_id, n_words, at``: the longest match of each item in each text, and the first word where it starts."""
         n, get = self.n, self.index.get
         ids: list[int] = []
         bounds = [0]
@@ -66,29 +104,49 @@ class Items:
         stop = np.flatnonzero(seq < 0)
         run = stop[np.searchsorted(stop, np.arange(len(seq)))] - np.arange(len(seq))
         starts = np.flatnonzero(run >= n)
-        none = pd.DataFrame({"doc": [], "item_id": [], "n_words": [], "at": []}, dtype="int64")
-        if not len(starts) or not len(self.starts):
-            return none
+        if not len(starts) or not len(self.keys):
+            return NONE
         suffix = keys(seq, starts, n)
-        order = np.argsort(suffix, kind="stable")
-        suffix, starts = suffix[order], starts[order]
-        low, high = np.searchsorted(suffix, self.keys, "left"), np.searchsorted(suffix, self.keys, "right")
-        count = high - low
-        if not count.sum():
-            return none
-        item_at = np.repeat(self.starts, count)
-        place = starts[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())]
-        # extend each match word by word while any goes on
-        length = np.full(len(place), n)
-        going = np.arange(len(place))
-        while len(going):
-            k = length[going]
-            going = going[(self.left[item_at[going]] > k) & (run[place[going]] > k)]
-            k = length[going]
-            going = going[self.ids[item_at[going] + k] == seq[place[going] + k]]
-            length[going] += 1
-        doc = np.searchsorted(np.array(bounds), place, "right") - 1
-        found = pd.DataFrame({"doc": doc, "item_id": self.owner[item_at], "n_words": length, "at": place - np.array(bounds)[doc]})
+        group = np.minimum(np.searchsorted(self.keys, suffix), len(self.keys) - 1)
+        hit = self.keys[group] == suffix
+        starts, group = starts[hit], group[hit]
+        if not len(starts):
+            return NONE
+        # the passages from these places on, each closed by a number of its own, behind the items
+        cover = np.zeros(len(seq) + 1, np.int64)
+        np.add.at(cover, starts, 1)
+        np.add.at(cover, starts + np.minimum(run[starts], self.longest), -1)
+        inside = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+        closes = np.append(np.flatnonzero(np.diff(inside) > 1), len(inside) - 1)
+        passages = np.insert(seq[inside], closes + 1, -1 - len(self.ids) - np.arange(len(closes)))
+        of = len(self.ids) + np.searchsorted(inside, starts)
+        of += np.searchsorted(closes, of - len(self.ids))  # the closing numbers before it
+        levels = rank_levels(np.concatenate([self.ids, passages]), self.longest)
+        rank, size = levels[-1], len(levels[-1])
+        ordered = self.owner[self.starts] * size + rank[self.starts]
+        order = np.argsort(ordered)
+        ordered, place = ordered[order], self.starts[order]
+        doc = np.searchsorted(np.array(bounds), starts, "right") - 1
+        at = starts - np.array(bounds)[doc]
+        count = self.first[group + 1] - self.first[group]
+        parts, ends = [], np.cumsum(count)
+        low = 0
+        while low < len(starts):
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + LOOKUPS, "right")))
+            of_hit = np.repeat(np.arange(low, high), count[low:high])
+            within = np.arange(len(of_hit)) - np.repeat(ends[low:high] - count[low:high] - (ends[low - 1] if low else 0), count[low:high])
+            item = self.holders[self.first[group[of_hit]] + within]
+            spot = of[of_hit]
+            above = np.searchsorted(ordered, item * size + rank[spot])
+            length = np.zeros(len(spot), np.int64)
+            for near in (above - 1, above):
+                there = (near >= 0) & (near < len(ordered))
+                there[there] = ordered[near[there]] // size == item[there]
+                length[there] = np.maximum(length[there], common_prefix(levels, place[near[there]], spot[there]))
+            found = pd.DataFrame({"doc": doc[of_hit], "item_id": self.names[item], "n_words": length, "at": at[of_hit]})
+            parts.append(found.sort_values(["doc", "item_id", "n_words", "at"], ascending=[True, True, False, True]).drop_duplicates(["doc", "item_id"]))
+            low = high
+        found = pd.concat(parts)
         return found.sort_values(["doc", "item_id", "n_words", "at"], ascending=[True, True, False, True]).drop_duplicates(["doc", "item_id"])
 
 

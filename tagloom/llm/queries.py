@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.bpe import token_ids
 from tagloom.llm.copies import copies, copy_groups
 from tagloom.llm.groups import tag_groups
-from tagloom.llm.leakage import leaked, matches
+from tagloom.llm.leakage import clean, leaked, matches
 from tagloom.llm.mojibake import garbled_fields
 from tagloom.llm.residue import residue_pages
 from tagloom.llm.survivor import claims, fuse, survivors
@@ -72,6 +72,11 @@ def p9_matches(spark: SparkSession, d: str) -> DataFrame:
     return matches(load(spark, d, "documents"), load(spark, d, "eval_items"))
 
 
+def p9_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that hold no passage of a test item."""
+    return clean(load(spark, d, "documents"), load(spark, d, "eval_items")).select("doc_id")
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents with residue in place of content."""
     return residue_pages(load(spark, d, "documents")).select("doc_id")
@@ -89,6 +94,7 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_matches": p9_matches,
+    "p9_clean": p9_clean,
     "p10_found": p10_found,
 }
 

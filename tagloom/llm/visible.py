@@ -15,15 +15,14 @@ _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
 _NOTE = re.compile(r"<ref\b[^<>]*?/\s*>|<ref\b[^<>]*>.*?</ref\s*>|<references\b[^<>]*>", re.S | re.I)
 _INLINE = re.compile(rf"</?(?:{INLINE_TAGS})\b[^<>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
-_TEMPLATE = re.compile(r"\{\{([^{}]*)\}\}")
-_LINK = re.compile(r"\[\[([^\[\]]*)\]\]")
+_BRACKETS = re.compile(r"\{\{|\}\}|\[\[|\]\]")
 _OUTER_LINK = re.compile(r"\[(?:https?:)?//[^\s\[\]]+([^\[\]]*)\]", re.I)
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 _PARAMETER = re.compile(r"^\s*[\w -]+=")
 
 
-def _template(m: re.Match) -> str:
-    name, *values = m.group(1).split("|")
+def _template(inner: str) -> str:
+    name, *values = inner.split("|")
     if name.strip().lower() in FOOTNOTE_TEMPLATES:
         return ""
     if len(values) == 1 and not _PARAMETER.match(values[0]):
@@ -31,8 +30,8 @@ def _template(m: re.Match) -> str:
     return " " + " \n ".join(_PARAMETER.sub("", v) for v in values) + " " if values else " "
 
 
-def _link(m: re.Match) -> str:
-    target, *labels = m.group(1).split("|")
+def _link(inner: str) -> str:
+    target, *labels = inner.split("|")
     space = target.partition(":")[0].strip().lower() if ":" in target else ""
     if space in HIDDEN_SPACES:
         return " "
@@ -41,6 +40,35 @@ def _link(m: re.Match) -> str:
     return labels[-1] if labels and labels[-1].strip() else target.lstrip(":")
 
 
+def unnest(text: str) -> str:
+    """Templates and links replaced by what they show, however deep they are nested; marks without a partner stay. One pass."""
+    opens, shows = {"}}": "{{", "]]": "[["}, {"{{": _template, "[[": _link}
+    stack: list[tuple[str, list[str]]] = [("", [])]
+    left = {"{{": 0, "[[": 0}
+    at = 0
+    for m in _BRACKETS.finditer(text):
+        stack[-1][1].append(text[at : m.start()])
+        at, mark = m.end(), m.group()
+        if mark in left:
+            stack.append((mark, []))
+            left[mark] += 1
+        elif not left[opens[mark]]:
+            stack[-1][1].append(mark)
+        else:
+            k = len(stack) - 1
+            while stack[k][0] != opens[mark]:
+                k -= 1
+            for other, parts in stack[k + 1 :]:  # opened within and never closed
+                stack[k][1].extend((other, *parts))
+                left[other] -= 1
+            left[opens[mark]] -= 1
+            inner = "".join(stack[k][1])
+            del stack[k:]
+            stack[-1][1].append(shows[opens[mark]](inner))
+    stack[-1][1].append(text[at:])
+    return "".join(part for mark, parts in stack for part in (mark, *parts))
+
+
 def visible(text: str) -> str:
     """Comments, footnotes, tags and link targets removed, entities decoded; template values and captions stay."""
     if "<" in text:
@@ -48,14 +76,8 @@ def visible(text: str) -> str:
             text = _COMMENT.sub("", text)
         text = _NOTE.sub("", text)
         text = _TAG.sub(" ", _INLINE.sub("", text))
-    for _ in range(20):  # from the innermost out
-        before = text
-        if "{{" in text:
-            text = _TEMPLATE.sub(_template, text)
-        if "[[" in text:
-            text = _LINK.sub(_link, text)
-        if text == before:
-            break
+    if "{{" in text or "[[" in text:
+        text = unnest(text)
     if "//" in text:
         text = _OUTER_LINK.sub(r"\1", text)
     if "''" in text:
