@@ -4,7 +4,11 @@ Contexts in which a page speaks of such text are taken out first: code,
 nowiki, preformatted blocks, comments, quotations and italics. What is left is
 searched with one grammar a kind of delimiter and with the phrases of fillers,
 error pages and script notices; ambiguous words count only where they fill a
-gap in a sentence, not where the sentence is about them.
+gap in a sentence, not where the sentence is about them. Placeholders are
+weighed against what surrounds them: a line that speaks of placeholders at
+least as often as it holds some is discounted, and so are all those of a
+tutorial, a page that shows code, speaks of placeholders on half of the lines
+that hold some, and holds them on few of its lines.
 """
 
 from __future__ import annotations
@@ -32,29 +36,30 @@ SPOKEN_OF = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(nowiki|code|pre|syntaxhighlight|source|kbd|samp|tt|math|blockquote|q)\b[^<>]*(?<!/)>.*?</\1\s*>"
     r"|(?<!')''(?!')[^'\n]+(?<!')''(?!')"
-    r"|(?<![\w\"])\"[^\"\n]{1,300}\"(?![\w\"])|“[^”\n]{1,300}”|«[^»\n]{1,300}»|„[^“”\n]{1,300}[“”]|「[^」\n]{1,300}」|『[^』\n]{1,300}』|‘[^’\n]{1,300}’",
+    r"|(?<![\w\"])\"[^\"\n]+\"(?![\w\"])|“[^”\n]+”|«[^»\n]+»|„[^“”\n]+[“”]|「[^」\n]+」|『[^』\n]+』|‘[^’\n]+’",
     re.S | re.I,
 )
 #: A sentence that names a word or text before it.
 NAMED = r"(?<!wrote )(?<!write )(?<!writes )(?<!written )(?<!word )(?<!words )(?<!letters )(?<!term )(?<!marked )(?<!spelled )(?<!called )(?<!read )(?<!reads )(?<!as )"
 
 PLACEHOLDERS = [
-    r"\{\{\{[^{}|<>\n]{1,60}\}\}\}",
-    r"\$\{[\w.:-]{1,60}\}|\$\([\w.]{1,60}\)",
-    r"(?<!\{)\{[A-Za-z0-9][\w. ]{0,40}\}(?!\})",
-    r"(?<![\w%])%\(\w{1,40}\)[sdif]|(?<![\w%])%[sd](?![\w%])",
-    r"(?<![\w%])%[A-Z][A-Z_]{2,40}%(?!\w)",
-    r"\{%[^%\n]{1,80}%\}",
-    r"<%[=#-]?[^%\n]{1,80}%>|<\?=?[^?\n]{1,80}\?>",
-    r"<<\w{1,40}>>|\[\[\[\w{1,40}\]\]\]",
+    r"\{\{\{[^{}|<>\n]+\}\}\}",
+    r"\$\{[\w.:-]+\}|\$\([\w.]+\)",
+    r"(?<!\{)\{[A-Za-z0-9][\w. ]*\}(?!\})",
+    r"(?<![\w%])%\(\w+\)[sdif]|(?<![\w%])%[sd](?![\w%])",
+    r"(?<![\w%])%[1-9]\$[sd](?!\w)|(?<![\w$])\$1 (?:is|was|has|had|lies|are|were)\b(?=[^\n]*\$2(?![\d.,]*\d))|^\$1 (?:is|lies)\b",
+    r"(?<![\w%])%[A-Z][A-Z_]{2,}%(?!\w)",
+    r"\{%[^%\n]+%\}",
+    r"<%[=#-]?[^%\n]+%>|<\?=?[^?\n]+\?>",
+    r"<<\w+>>|\[\[\[\w+\]\]\]",
     rf"<(?!(?:{'|'.join(TAGS)})\b)[a-z][a-z0-9]*(?:[_ -][a-z0-9]+)*>",
     r"<[a-z]+(?:_[a-z]+)+>",
     rf"(?<!\w)__(?!(?:{'|'.join(SWITCHES)})__)[A-Z0-9]+(?:_[A-Z0-9]+)*__(?!\w)",
-    r"@@\w{1,40}@@|(?<!\w)##\w{1,40}##(?!\w)",
+    r"@@\w+@@|(?<!\w)##\w+##(?!\w)",
     r"#(?:REF|VALUE|DIV/0|NUM|NULL)!|#NAME\?|#N/A\b",
-    r"(?<!\[)\[(?i:insert|enter|add|fill in|put|place|your (?:name|text|title|address|city|company|date|email|own|organi[sz]ation)|name of|type|description of|date of|number of|todo|tbd)\b[^\[\]\n]{0,60}\](?![\](])",
-    r"(?<!\[)\[(?:Your|YOUR)\b[^\[\]\n]{0,60}\](?![\](])",
-    r"(?<!\[)\[[A-Z][A-Z0-9 _]{0,40} HERE\](?!\])",
+    r"(?<!\[)\[(?i:insert|enter|add|fill in|put|place|your (?:name|text|title|address|city|company|date|email|own|organi[sz]ation)|name of|type|description of|date of|number of|todo|tbd)\b[^\[\]\n]*\](?![\](])",
+    r"(?<!\[)\[(?:Your|YOUR)\b[^\[\]\n]*\](?![\](])",
+    r"(?<!\[)\[[A-Z][A-Z0-9 _]* HERE\](?!\])",
     r"^(?:TODO|FIXME|TBD|TBA)(?::|\.?$)",
     NAMED + r"(?<!\w)X{4,8}(?!\w)|(?<!\w)XXX(?= [a-z]+)(?! Corps)(?=[^.\n]*\bX{3,})",
     r"(?<=\w )\?{3,8}(?=[\s.,;:]|$)",
@@ -63,6 +68,7 @@ PLACEHOLDERS = [
 FILLERS = [
     r"(?:^|[.!?]\s+)(?:sample|dummy|filler|placeholder) text\b(?! (?:is|was|were|are|in|from|for)\b)",
     r"\b(?:your|add) (?:own )?(?:text|content|title|description)s? (?:goes |go )?here\b|\b(?:text|content|description|title|biography|caption) (?:goes|go) here\b|\btext to (?:follow|come)\b",
+    r"\binsert (?:[\w-]+ ){1,3}text here\b|^headline text$|\bbold text italic text\b|(?:^|(?<=\[\[))link title\b(?=\]\]|$)",
     r"\binsert (?:your |some |the )?(?:text|content|title|name|description|image|paragraph) here\b|(?m)^(?:content |page )?coming soon\b",
     r"\bblah(?:[ ,.]+blah){2,}",
     r"\breplace this (?:paragraph|text|section|sentence|line|placeholder)\b|\((?:editor|author|writer)s?: ?\d+ words\b|\bclick here to (?:add|edit|enter)\b|\bcontent coming soon\b",
@@ -98,6 +104,17 @@ NOTICES = [
     r"(?:java ?script|スクリプト|クッキー|cookie)[^。\n]{0,15}(?:有効|オンに|許可|必要|無効|ブロック)",
 ]
 LOREM = re.compile(r"\blorem ipsum\b((?:\W+\w+){0,8})", re.I)
+#: Filler Latin in any order: so many of its words on end, of which so many differ. Latin prose has other words between them.
+LATIN_RUN, LATIN_KINDS = 8, 6
+#: Words of a line that speaks of placeholders.
+TUTORIAL = re.compile(
+    r"\b(?:placeholders?|parameters?|variables?|syntax|syntaxes|format strings?|macros?|expands? to|substituted|stands? for|denotes?|is written|are written|interpolat\w+"
+    r"|platzhaltern?|parametern?|variablen?|marcador(?:es)?|parámetros?|sintaxis|paramètres?|syntaxe)\b|変数|引数|構文",
+    re.I,
+)
+#: Context in which a page shows text as text, and the greatest share of its lines that hold placeholders in a tutorial.
+SHOWS = re.compile(r"<(?:nowiki|code|pre|syntaxhighlight|source|kbd|samp|tt)\b", re.I)
+TUTORIAL_SHARE = 0.2
 _CASED = re.compile("|".join(f"(?:{p})" for p in PLACEHOLDERS).replace("(?m)", ""), re.M)
 _UNCASED = re.compile("|".join(f"(?:{p})" for p in FILLERS + ERRORS + NOTICES).replace("(?m)", ""), re.M | re.I)
 
@@ -196,7 +213,7 @@ def marks_of(alternative: str) -> tuple[set[str], list[set[str]]]:
 #: over, but for the grammars that have none (single braces, unknown tags, stack frames): these are searched themselves.
 ALTERNATIVES = [(a, 0) for p in PLACEHOLDERS for a in split_alternatives(p.replace("(?m)", ""))] + [(a, re.I) for p in FILLERS + ERRORS + NOTICES for a in split_alternatives(p.replace("(?m)", ""))]
 _WORKED = [(re.compile(a, re.M | flag), *marks_of(a)) for a, flag in ALTERNATIVES]
-MARKS = frozenset(m for _, marks, _ in _WORKED for m in marks) | {"lorem ipsum"}
+MARKS = frozenset(m for _, marks, _ in _WORKED for m in marks) | {"lorem ipsum", "consectetur", "adipiscing", "eiusmod", "incididunt", "nostrud", "ullamco"}
 _BARE = [(grammar, needs) for grammar, marks, needs in _WORKED if not marks]
 #: Characters of lines kept in a worker's memory; past this it starts anew, which changes no result.
 MEMORY = 30_000_000
@@ -216,7 +233,7 @@ class Detector:
 
     def forget(self) -> None:
         self.screened: dict[str, bool] = {}
-        self.judged: dict[str, str | None] = {}
+        self.judged: dict[str, tuple[str, int] | None] = {}
         self.size = 0
 
     def screen(self, line: str) -> bool:
@@ -232,12 +249,19 @@ class Detector:
             self.screened[line] = hit
         return hit
 
-    def judge(self, line: str) -> str | None:
+    def judge(self, line: str) -> tuple[str, int] | None:
+        """The first passage of residue in a line, and how many placeholders the line holds if that is one, else 0."""
         if line not in self.judged:
-            m = _CASED.search(line) or _UNCASED.search(line)
-            if not m:
-                m = next((m for m in LOREM.finditer(line) if sum(w.lower() in LATIN for w in re.findall(r"\w+", m.group(1))) >= 3), None)
-            self.judged[line] = m.group() if m else None
+            hit = None
+            if m := _CASED.search(line):
+                hit = m.group(), sum(1 for _ in _CASED.finditer(line))
+            elif m := _UNCASED.search(line):
+                hit = m.group(), 0
+            elif m := next((m for m in LOREM.finditer(line) if sum(w.lower() in LATIN for w in re.findall(r"\w+", m.group(1))) >= 3), None):
+                hit = m.group(), 0
+            elif run := latin_run(line):
+                hit = run, 0
+            self.judged[line] = hit
         return self.judged[line]
 
     def residue(self, text: str | None) -> str | None:
@@ -247,7 +271,28 @@ class Detector:
         plain = SPOKEN_OF.sub(" \u2042 ", text)
         if "&" in plain:
             plain = html.unescape(plain)
-        return next((r for line in plain.split("\n") if self.screen(line) and (r := self.judge(line))), None)
+        lines = plain.split("\n")
+        found = [(line, *hit) for line in lines if self.screen(line) and (hit := self.judge(line))]
+        held = [line for line, _, n in found if n]
+        about = {line for line in held if TUTORIAL.search(line)}
+        if not about:
+            return found[0][1] if found else None
+        few = len(held) <= TUTORIAL_SHARE * sum(1 for line in lines if line.strip())
+        tutorial = few and 2 * sum(line in about for line in held) >= len(held) and SHOWS.search(text) is not None
+        return next((passage for line, passage, n in found if not n or not (tutorial or (line in about and len(TUTORIAL.findall(line)) >= n))), None)
+
+
+def latin_run(line: str) -> str | None:
+    """The first run of filler Latin in a line, of ``LATIN_RUN`` words or more of which ``LATIN_KINDS`` differ."""
+    run: list[str] = []
+    for word in [*re.findall(r"\w+", line), ""]:
+        if word.lower() in LATIN:
+            run.append(word)
+        elif len(run) >= LATIN_RUN and len({w.lower() for w in run}) >= LATIN_KINDS:
+            return " ".join(run)
+        else:
+            run = []
+    return None
 
 
 @lru_cache(maxsize=1)

@@ -100,19 +100,53 @@ def test_leaks_against_brute_force(spark):
     assert got == want and want
 
 
+def test_leaks_of_repetitive_texts():
+    """The longest match of a long text of few words comes without pairs of places, and is the right one."""
+    import time
+
+    from tagloom.llm import leakage
+
+    def longest(item, text, n):
+        best = (0, 0)
+        for i in range(len(item)):
+            for j in range(len(text)):
+                k = 0
+                while i + k < len(item) and j + k < len(text) and item[i + k] == text[j + k]:
+                    k += 1
+                best = max(best, (k, -j))
+        return [best[0], -best[1]] if best[0] >= n else None
+
+    random.seed(3)
+    for _ in range(60):
+        items = [[random.choice("ab") for _ in range(random.randint(0, 30))] for _ in range(5)]
+        texts = [[random.choice("abz") for _ in range(random.randint(0, 60))] for _ in range(4)]
+        want = {(d, i): m for d, t in enumerate(texts) for i, w in enumerate(items) if (m := longest(w, t, 5))}
+        found = leakage.Items([(i, " ".join(w)) for i, w in enumerate(items)], 5).search([" ".join(t) for t in texts])
+        assert {(d, i): [n, at] for d, i, n, at in found.itertuples(index=False)} == want
+    began = time.perf_counter()
+    found = leakage.Items([(1, "lamp " * 400)], 12).search(["lamp " * 8000])
+    assert found.values.tolist() == [[0, 1, 400, 0]] and time.perf_counter() - began < 1
+
+
+def test_visible_of_deep_nesting():
+    assert visible("{{a|" * 30 + "[[b|lamp]]" + "}}" * 30).split() == ["lamp"]
+    assert visible("{{a|" * 50_000 + "lamp" + "}}" * 50_000).split() == ["lamp"]
+    assert visible("{{x|[[b|c]]}} {{y [[z}} w]] v").split() == ["c", "w]]", "v"]
+
+
 RESIDUE = [
     "404 Not Found\n\nThe requested page was not found on this server.", "Lorem ipsum dolor sit amet consectetur adipiscing elit.", "The mill was founded in ${year} by settlers.", "'''{{{name}}}''' is a village.",
     "%s is a mill in the %s district", "'''%(name)s''' lies here", "[INSERT YEAR HERE] is known", "[name of mill] was the first", "&lt;%= page.year %&gt; was recorded", "lies in <<YEAR>>, 3 metres", "a population of <leader> and",
     "__TOWN__ has been part", "at @@NAME@@ was repaired", "Population: #REF!", "XXXX is a village of XXX inhabitants", "The mill of ???? was built in ????.", "'''undefined''' is a mill", "null is a village in null",
     "Please enable JavaScript to view the map.", "Veuillez activer JavaScript pour afficher", "Para ver este contenido, active JavaScript", "Bitte aktivieren Sie JavaScript", "スクリプトを有効にしてください。", "Your text goes here.",
     "Hier steht ein Blindtext, bis er ersetzt wird", "Texto de relleno, sustituir", "Texte provisoire : à remplacer", "ここに本文を入力してください。", "Access denied. You do not have permission", "Error interno del servidor.", "Fehlercode 27.",
-    "お探しのページは見つかりませんでした。", "java.lang.NullPointerException", "Traceback (most recent call last):", "Lua error in Module:X at line 3", "Template loop detected: Template:X", "{% if year %}The bridge{% endif %}", "Blah blah blah mill blah blah.", "[Your name]", "TODO: write", "Insert text here", "Coming soon", "Service Unavailable", "Loading...", "We could not find the page",
+    "お探しのページは見つかりませんでした。", "java.lang.NullPointerException", "Traceback (most recent call last):", "Lua error in Module:X at line 3", "Template loop detected: Template:X", "{% if year %}The bridge{% endif %}", "Blah blah blah mill blah blah.", "[Your name]", "TODO: write", "Insert text here", "Coming soon", "$1 is a mill near $2, 7 kilometres from Restmere.", "%1$s lies near %2$s", "Insert section text here", "Headline text", "Bold text Italic text Insert non-formatted text here [[Link title]]", "Labore velit amet tempor nostrud sit quis sed adipiscing magna.", "${" + "x" * 500 + "}", "[insert " + "the name " * 50 + "]", "Service Unavailable", "Loading...", "We could not find the page",
 ]
 CONTENT = [
     'The status line "404 Not Found" was shown 8 times.', "Printers set ''lorem ipsum'' as a specimen.", "The syntax <code>${year}</code> was taken over.", "a parameter is written <nowiki>{{{name}}}</nowiki> and",
     '<syntaxhighlight lang="c">\nprintf("%s is a mill", x);\n</syntaxhighlight>', "Clerks wrote XXXX where a witness could not sign.", "The word ''undefined'' was used.", "the first in which users could switch scripts off, and JavaScript support followed in 2007.",
     'got the words "page not found", and', "{{Infobox mill\n| name = \n| year = 3\n}}", "{{Expand section|date=May 2015}} {{stub}} {{reflist}}", "#REDIRECT [[Mill]]", "lol lol lol lol", "?" * 200, "x" * 200, "__NOTOC__ {{DEFAULTSORT:Mill}}",
-    "It covers 50% of the district, 3 of 5 dry. Most manuscripts by default.", "<div class=\"x\">a</div><br /><ref name=\"y\">z</ref>", "", "See [your local library]. The page was not found until 1950; todo lists and insert moulds.", "{{{1|}}}", "Pope John XXIII and Chapter XXX were read.",
+    "It covers 50% of the district, 3 of 5 dry. Most manuscripts by default.", "<div class=\"x\">a</div><br /><ref name=\"y\">z</ref>", "", "See [your local library]. The page was not found until 1950; todo lists and insert moulds.", "{{{1|}}}", "It cost $1 in 1900 and was $2 later.", "A dolor sit of amet.", "He said \"the page was not found " + "and went on " * 60 + "\" twice.", "Pope John XXIII and Chapter XXX were read.",
 ]
 
 
@@ -126,6 +160,18 @@ def test_content(text):
     assert detector().residue(text) is None
 
 
+def test_placeholders_of_tutorials():
+    """A page that explains placeholders in prose is no case; the same placeholders where a name should stand are one."""
+    find = detector().residue
+    prose = "In this syntax the placeholder ${name} stands for a name.\n"
+    assert find(prose) is None
+    assert find(prose + "The mill of ${name} was built in ${year}.") == "${name}"
+    tutorial = prose + "<code>x</code>\n" + "Templates were widely used in the printing trade.\n" * 20
+    assert find(tutorial + "Later %s came up.") is None
+    assert find(tutorial + "Later %s came up.\nAccess denied") == "Access denied"
+    assert find("<code>x</code>\nThe mill of ${name} was built.\n" + "It stands.\n" * 20) == "${name}"
+
+
 def test_residue_pages(spark):
     df = docs(spark, ["fine", None, "", "Gateway timeout.", "Gateway timeout.", "fine " * 200_000 + "\nGateway timeout."])
     assert sorted(r["doc_id"] for r in residue_pages(df).collect()) == [3, 4, 5]
