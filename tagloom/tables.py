@@ -20,10 +20,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one is set where there is none."""
+    """The session's checkpoint folder. Where there is none, a temporary one is set in local mode; on a cluster, whose machines share no such folder, that is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tagloom-"))
     return sc.getCheckpointDir()
 
@@ -66,17 +68,33 @@ class Scratch:
         self.paths[id(back)] = path
         return back
 
+    def close(self) -> None:
+        """Deletes all tables, once nothing reads them any more."""
+        self.paths.clear()
+        _delete(self.spark, self.root)
+
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
             if path := self.paths.pop(id(df), None):
                 _delete(self.spark, path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting: past ``max_rows`` the frame is left to a shuffled join.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over all cores, for steps that cost far more a byte than a shuffle; adaptive execution leaves them apart."""
+    sc = df.sparkSession.sparkContext
+    return df.repartition(max(sc.defaultParallelism * 2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only after a check: past ``max_rows`` or ``max_bytes`` the frame is left to a shuffled join.
 
-    The count is stopped one row past the bound, so that checking a large side is cheap.
+    A frame that is read straight from files is judged by the optimiser's size
+    of them where that is below the session's own limit, which it broadcasts by
+    itself; else rows and the bytes of their text are counted, stopped one row
+    past the bound.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    if 0 < int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit:
+        return df
+    size = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["size"] <= max_bytes else df
