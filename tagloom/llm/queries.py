@@ -32,9 +32,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_fused(spark: SparkSession, d: str) -> DataFrame:
     """The source_tag and tag of greatest posterior for each group, by fusion over the formats that list it."""
-    tags, status = load(spark, d, "tags"), load(spark, d, "tag_status")
-    of = lambda field: fuse(claims(tags, status, field)).select(F.lit(field).alias("field_name"), "*")
-    return of("source_tag").unionByName(of("tag"))
+    fields = ("source_tag", "tag")
+    out = fuse(claims(load(spark, d, "tags"), load(spark, d, "tag_status"), *fields))
+    which = F.left("canon", F.lit(1)).cast("int")
+    return out.select(F.element_at(F.array(*map(F.lit, fields)), which + 1).alias("field_name"), F.substring("canon", 3, 1 << 30).alias("canon"), "value", "probability")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -74,7 +74,7 @@ def test_fusion_discounts_copied_votes(spark):
     for g in range(300):  # where the copiers are outvoted
         rows += [own(f"s{g}", s) for s in (1, 2, 3, 9, 10, 11, 12, 13, 14)] + [copied(f"s{g}", s) for s in (4, 5, 6, 7, 8)]
     claimed = spark.createDataFrame(rows, "canon string, source long, value string, n long")
-    got = {r["canon"]: r["value"] for r in fuse(claimed, rounds=4).collect()}
+    got = {r["canon"]: r["value"] for r in fuse(claimed).collect()}
     right = sum(got[f"g{g}"] == f"tg{g}" for g in range(n))
     assert right > naive + n // 4, (right, naive)
     assert fuse(claimed.limit(0)).count() == 0
