@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import strip
+from tagloom.tables import Scratch
 
 
 def is_blank(c: Column) -> Column:
@@ -24,6 +25,13 @@ def canonical_words(c: Column) -> Column:
     return F.when(F.size(words) > 0, F.array_join(words, " "))
 
 
+def distinct_texts(records: DataFrame, id_col: str, text: Column) -> DataFrame:
+    """``text, low, n, canon`` of every distinct text with words: its smallest id, how often it occurs, and its words in order."""
+    raw = records.select(F.col(id_col).alias("id"), text.alias("text")).where("text is not null")
+    exact = raw.groupBy("text").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    return exact.withColumn("canon", canonical_words(F.col("text"))).where("canon is not null")
+
+
 def collapse(records: DataFrame, id_col: str, text: Column) -> DataFrame:
     """Canonical groups in two stages: ``text, canon, first_id, copies`` for every distinct raw text.
 
@@ -33,9 +41,7 @@ def collapse(records: DataFrame, id_col: str, text: Column) -> DataFrame:
     over the full canonical text. ``first_id`` and ``copies`` are those of the
     whole group. Texts without words, null ones included, are left out.
     """
-    raw = records.select(F.col(id_col).alias("id"), text.alias("text")).where("text is not null")
-    exact = raw.groupBy("text").agg(F.min("id").alias("low"), F.count("*").alias("n"))
-    survivors = exact.withColumn("canon", canonical_words(F.col("text"))).where("canon is not null")
+    survivors = Scratch(records.sparkSession).put(distinct_texts(records, id_col, text))  # read twice
     groups = survivors.groupBy("canon").agg(F.min("low").alias("first_id"), F.sum("n").alias("copies"))
     return survivors.join(groups, "canon").select("text", "canon", "first_id", "copies")
 
@@ -47,9 +53,7 @@ def copy_groups(records: DataFrame, id_col: str = "tag_id", text: Column | None
     repeated rows count each.
     """
     text = record_text() if text is None else text
-    raw = records.select(F.col(id_col).alias("id"), text.alias("text")).where("text is not null")
-    exact = raw.groupBy("text").agg(F.min("id").alias("low"), F.count("*").alias("n"))
-    survivors = exact.withColumn("canon", canonical_words(F.col("text"))).where("canon is not null")
+    survivors = distinct_texts(records, id_col, text)
     return survivors.groupBy("canon").agg(F.min("low").alias("first_id"), F.sum("n").alias("copies")).select("first_id", "canon", "copies")
 
 
