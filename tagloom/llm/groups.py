@@ -80,14 +80,14 @@ def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     if hub is None:
         return nodes.select("node", F.col("node").alias("component"))
     # Peel: search breadth-first as long as layers grow; what hangs on the last ones is left to the propagation.
-    frontier, n_frontier = spark.range(1).select(F.lit(hub).cast("long").alias("node")), 1
+    frontier, n_frontier = spark.createDataFrame([(hub,)], "node long"), 1
     layers = [frontier]
-    for _ in range(rounds):
-        step = _small(frontier.select(F.col("node").alias("a")), n_frontier)
-        reached = edges.join(step, "a", "left_semi").select(F.col("b").alias("node")).distinct()
+    for k in range(rounds):
+        near = edges.join(_small(frontier.select(F.col("node").alias("a")), n_frontier), "a", "left_semi") if k else edges.where(F.col("a") == hub)
+        reached = near.select(F.col("b").alias("node")).distinct()
         # a neighbour is in the layer before, in this one or in the next
-        known = layers[-1] if len(layers) == 1 else layers[-1].unionByName(layers[-2])
-        frontier = scratch.put(reached.join(known, "node", "left_anti"))
+        fresh = reached.join(layers[-1].unionByName(layers[-2]), "node", "left_anti") if k else reached  # the hub has no link to itself
+        frontier = scratch.put(fresh)
         before, n_frontier = n_frontier, frontier.count()
         layers.append(frontier)
         if n_frontier <= before:
