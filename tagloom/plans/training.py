@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.operators.orphans import tag_orphans
-from tagloom.operators.packed import explode_packed
-from tagloom.sources.csvlines import failed_lines, loaded_lines
+from tagloom.operators.packed import explode_packed, split_packed
+from tagloom.sources.csvlines import failed_lines, line_edits, loaded_lines
 from tagloom.tables import load
 
 
@@ -22,9 +22,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_value_counts(spark: SparkSession, d: str) -> DataFrame:
     """How many values the fields of each table hold: ``table_name, n_values, n_fields``."""
     out = None
-    for table, key, field in (("site_tags", "site_row_id", "deprecated_tags"), ("tag_translations", "translation_id", "translation")):
-        per = explode_packed(load(spark, d, table), key, field).groupBy("row_id").agg(F.max("pos").alias("n_values"))
-        per = per.groupBy("n_values").agg(F.count("*").alias("n_fields")).select(F.lit(table).alias("table_name"), "n_values", "n_fields")
+    for table, field in (("site_tags", "deprecated_tags"), ("tag_translations", "translation")):
+        per = load(spark, d, table).select(F.size(split_packed(F.col(field))).cast("long").alias("n_values")).where("n_values > 0").groupBy("n_values").agg(F.count("*").alias("n_fields"))
+        per = per.select(F.lit(table).alias("table_name"), "n_values", "n_fields")
         out = per if out is None else out.unionByName(per)
     return out
 
@@ -54,7 +54,12 @@ def p5_loaded(spark: SparkSession, d: str) -> DataFrame:
     return loaded_lines(load(spark, d, "csv_lines")).select("line_id", "source_tag", "type_id", "count", "format_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_value_counts": p1_value_counts, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_loaded": p5_loaded}
+def p5_edits(spark: SparkSession, d: str) -> DataFrame:
+    """The edits of the cheapest parse of CSV records that need some."""
+    return line_edits(load(spark, d, "csv_lines"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_value_counts": p1_value_counts, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_loaded": p5_loaded, "p5_edits": p5_edits}
 
 _TAG_REFERENCE = """
 SELECT '{table}' AS ref_table, '{field}' AS ref_field, coalesce(strftime(r.created_at, '%Y-%m'), 'unknown') AS period, r.tag_id, CAST(r.{field} AS VARCHAR) AS missing_key

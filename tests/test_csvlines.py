@@ -1,6 +1,10 @@
 import random
+import re
 
-from tagloom.sources.csvlines import STRICT, failed_lines, loaded_lines, parse_lines, quote_edits, split_record
+from tagloom.sources.csvlines import edit_operations, failed_lines, line_edits, loaded_lines, parse_lines, quote_edits, split_record, width_operations
+
+_FIELD = r'(?:"[^"]*(?:""[^"]*)*"|[^",]*)'
+STRICT = re.compile(f"{_FIELD}(?:,{_FIELD})*")
 
 SCHEMA = "line_id long, file_name string, line_no long, raw_line string"
 
@@ -54,6 +58,36 @@ def test_least_edits():
         assert quote_edits([record])[0] == edits, record
 
 
+def apply(record, edits):
+    for operation, place in sorted(edits, key=lambda e: -e[1]):
+        if operation.startswith("delete"):
+            record = record[:place] + record[place + 1 :]
+        else:
+            record = record[:place] + ("," if operation == "insert_delimiter" else '"') + record[place:]
+    return record
+
+
+def test_edit_operations_mend_the_record():
+    random.seed(2)
+    records = ["".join(random.choice(['"', ",", "a", "bc", '""', "\n"]) for _ in range(random.randint(0, 12))) for _ in range(3000)]
+    for r, cost, (edits, delimiters) in zip(records, quote_edits(records), edit_operations(records)):
+        mended = apply(r, edits)
+        assert len(edits) == cost or any(o == "double_quote" for o, _ in edits), r
+        assert STRICT.fullmatch(mended), (r, edits, mended)
+        assert len(strict(mended)) == len(delimiters) + 1, (r, edits, mended)
+    assert edit_operations(['"pena"trelo,0,1'])[0] == ([("insert_delimiter", 6)], [6, 11, 13])
+    assert edit_operations(['a,"0'])[0][0] == [("delete_quote", 2)]  # as cheap as to close it at the end
+    assert apply("a,b,c", width_operations(3, 2, [1, 3], 5)) == "a,bc" and apply("a", width_operations(1, 3, [], 1)) == "a,,"
+    assert width_operations(4, 0, [1], 2) == [] == width_operations(2, 2, [1], 3)
+
+
+def test_line_edits(spark):
+    rows = [(1, "f", 1, "source_tag,count"), (2, "f", 2, "a,1"), (3, "f", 3, "a"), (4, "f", 4, 'a"b,1'), (5, "f", 5, "a,1,2"), (6, "f", 6, None)]
+    out = sorted(tuple(r) for r in line_edits(lines(spark, rows)).collect())
+    assert out == [(3, 0, "insert_delimiter", 1), (4, 0, "delete_quote", 1), (5, 0, "delete_delimiter", 3), (6, 0, "insert_delimiter", 0)]
+    assert line_edits(lines(spark, rows).limit(0)).count() == 0
+
+
 def lines(spark, rows):
     return spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA + ", reason string")
 
