@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.tables import Scratch
@@ -70,6 +70,70 @@ def orphan_keys(references: DataFrame, existence: DataFrame) -> DataFrame:
     return seen.where("there <= 0").select("r.ref_table", "r.ref_field", "key", "r.period", "r.refs")
 
 
+REFERENCE_COUNTS = "ref_table string, ref_field string, key string, period string, n long"
+EXISTENCE_COUNTS = "key string, period string, n long"
+
+
+class OrphanCounts:
+    """Signed reference and existence counts kept in a folder between runs.
+
+    ``apply`` adds the deltas of one change set, +1 for a row that came and -1
+    for one that went, to the counts so far and writes them as a new version;
+    only keys with a count other than zero stay. A change set has a number, and
+    one that was applied already changes nothing, so a run or micro-batch that
+    is repeated after a failure is safe. ``report`` is the current orphan
+    report. Two versions are kept, so a reader of the last one is not disturbed.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._path = path
+        self._fs = path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def versions(self) -> list[int]:
+        """The finished versions: those whose second table was written to its end."""
+        if not self._fs.exists(self._path(self.folder)):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.folder))]
+        return sorted(int(n) for n in names if n.lstrip("-").isdigit() and self._fs.exists(self._path(f"{self.folder}/{n}/existence/_SUCCESS")))
+
+    def counts(self) -> tuple[DataFrame, DataFrame]:
+        """References (``ref_table, ref_field, key, period, n``) and existence (``key, period, n``) as they stand."""
+        versions = self.versions()
+        if not versions:
+            return self.spark.createDataFrame([], REFERENCE_COUNTS), self.spark.createDataFrame([], EXISTENCE_COUNTS)
+        at = f"{self.folder}/{versions[-1]}"
+        return self.spark.read.schema(REFERENCE_COUNTS).parquet(f"{at}/references"), self.spark.read.schema(EXISTENCE_COUNTS).parquet(f"{at}/existence")
+
+    def apply(self, number: int, references: DataFrame, existence: DataFrame) -> None:
+        versions = self.versions()
+        if versions and number <= versions[-1]:
+            return
+        for name, old, delta in zip(("references", "existence"), self.counts(), (references, existence)):
+            keys = [c for c in old.columns if c != "n"]
+            both = old.unionByName(delta.select(*keys, F.col("n").cast("long").alias("n")))
+            both.groupBy(*keys).agg(F.sum("n").alias("n")).where("n <> 0").write.mode("overwrite").parquet(f"{self.folder}/{number}/{name}")
+        for v in versions[:-1]:
+            self._fs.delete(self._path(f"{self.folder}/{v}"), True)
+
+    def report(self) -> DataFrame:
+        """``ref_table, ref_field, key, period, refs`` of the keys that are referred to and do not exist."""
+        return orphan_keys(*self.counts())
+
+
+def reference_deltas(rows: DataFrame, sign: int = 1, spaces: tuple[str, ...] = ("type_id",)) -> DataFrame:
+    """The counts that rows of ``reference_rows`` add, or take away, in the key space of their field."""
+    space = F.when(F.col("ref_field").isin(*spaces), F.col("ref_field")).otherwise(F.lit("*"))
+    return rows.select("ref_table", "ref_field", F.concat_ws("\x1f", space, "key").alias("key"), "period", F.lit(sign).cast("long").alias("n"))
+
+
+def existence_deltas(records: DataFrame, id_col: str = "tag_id", when: str = "created_at", sign: int = 1, space: str = "*") -> DataFrame:
+    """The counts that records of a referred table add, or take away; null keys exist nowhere."""
+    key = F.concat_ws("\x1f", F.lit(space), F.col(id_col).cast("string"))
+    return records.where(F.col(id_col).isNotNull()).select(key.alias("key"), F.coalesce(month(F.col(when)), F.lit(ALWAYS)).alias("period"), F.lit(sign).cast("long").alias("n"))
+
+
 def find_orphans(references: list[Reference], existence: dict[str, DataFrame]) -> DataFrame:
     """Referring rows without target: ``ref_table, ref_field, period, tag_id, missing_key``, distinct.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.operators.merge import greatest_wins
+from tagloom.operators.orphans import OrphanCounts
 
 
 def merge_usage(changes: DataFrame, read_state: Callable[[], DataFrame | None], write_state: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -24,3 +25,17 @@ def merge_usage(changes: DataFrame, read_state: Callable[[], DataFrame | None],
         write_state(greatest_wins(new if old is None else old.select(*new.columns).unionByName(new), key, "count", carried, carried), number)
 
     return changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def maintain_orphans(changes: DataFrame, counts: OrphanCounts, checkpoint: str) -> StreamingQuery:
+    """Keeps the counts of ``counts`` as a stream of deltas arrives.
+
+    ``changes`` has ``ref_table, ref_field, key, period, n``; rows without
+    ``ref_table`` are existence. A batch that runs again changes nothing.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        refs, have = batch.where("ref_table is not null"), batch.where("ref_table is null").select("key", "period", "n")
+        counts.apply(number, refs, have)
+
+    return changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

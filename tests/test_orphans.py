@@ -2,7 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tagloom.operators.orphans import orphan_keys, tag_orphans
+from tagloom.operators.orphans import EXISTENCE_COUNTS, OrphanCounts, Reference, existence_deltas, orphan_keys, reference_deltas, reference_rows, tag_orphans
+from tagloom.streaming.incremental import maintain_orphans
 
 T = dt.datetime
 STATUS = "tag_id long, format_id long, type_id long, preferred_tag_id long, created_at timestamp, missing_key string"
@@ -59,3 +60,39 @@ def test_signed_counts(spark):
     refs = spark.createDataFrame([("t", "f", "a", "2020-01", 1), ("t", "f", "a", "2020-03", 1), ("t", "f", "b", "2020-03", 1), ("t", "f", "b", "2020-03", -1)], "ref_table string, ref_field string, key string, period string, n long")
     have = spark.createDataFrame([("a", "2019-12", 1), ("a", "2020-02", -1)], "key string, period string, n long")
     assert [tuple(r) for r in orphan_keys(refs, have).collect()] == [("t", "f", "a", "2020-03", 1)]
+
+
+def _references(usage):
+    return reference_rows(Reference("tag_usage_counts", "tag_id", usage, "tag_id", F.col("tag_id").cast("string"), F.col("created_at")))
+
+
+def test_maintained_counts_equal_the_full_report(spark, tmp_path):
+    rows = [(1, 1, T(2020, 1, 5)), (2, 1, T(2020, 1, 5)), (2, 1, T(2020, 2, 1)), (3, 1, None), (3, 1, None), (None, 1, None)]
+    tags = [(1, T(2020, 1, 1)), (2, T(2020, 2, 9)), (3, None)]
+    usage, have = spark.createDataFrame(rows, USAGE), spark.createDataFrame(tags, "tag_id long, created_at timestamp")
+    first, rest = usage.where("tag_id < 3"), usage.where("tag_id = 3 or tag_id is null")
+    counts = OrphanCounts(spark, str(tmp_path / "counts"))
+    assert counts.report().count() == 0 and counts.versions() == []
+    counts.apply(0, reference_deltas(_references(first)), existence_deltas(have.where("tag_id <> 3")))
+    counts.apply(1, reference_deltas(_references(rest)), existence_deltas(have.where("tag_id = 3")))
+    full = orphan_keys(reference_deltas(_references(usage)), existence_deltas(have))
+    shown = lambda df: sorted(tuple(r) for r in df.collect())
+    assert shown(counts.report()) == shown(full) == [("tag_usage_counts", "tag_id", "*\x1f2", "2020-01", 1)]
+    # a tag goes and a referring row with it; the same change set again changes nothing
+    for _ in range(2):
+        counts.apply(2, reference_deltas(_references(usage.where("created_at = timestamp'2020-01-05 00:00:00'")), -1), existence_deltas(have.where("tag_id = 3"), sign=-1))
+    assert shown(counts.report()) == [("tag_usage_counts", "tag_id", "*\x1f3", "unknown", 2)]
+    assert counts.versions() == [1, 2]
+    counts.apply(3, reference_deltas(_references(usage.limit(0))), spark.createDataFrame([], EXISTENCE_COUNTS))
+    assert len(shown(counts.report())) == 1
+
+
+def test_maintained_counts_of_a_stream(spark, tmp_path):
+    changes = "ref_table string, ref_field string, key string, period string, n long"
+    spark.createDataFrame([("t", "f", "a", "2020-01", 1), (None, None, "b", "2020-01", 1)], changes).write.parquet(str(tmp_path / "in"))
+    counts = OrphanCounts(spark, str(tmp_path / "counts"))
+    for rows in ([], [(None, None, "a", "2019-01", 1), ("t", "f", "b", "2019-06", 1)]):
+        if rows:
+            spark.createDataFrame(rows, changes).write.mode("append").parquet(str(tmp_path / "in"))
+        maintain_orphans(spark.readStream.schema(changes).parquet(str(tmp_path / "in")), counts, str(tmp_path / "checkpoint")).awaitTermination()
+    assert [tuple(r) for r in counts.report().collect()] == [("t", "f", "b", "2019-06", 1)]
