@@ -2,8 +2,8 @@
 
 Every merge is one aggregation on the key; the order of changes is an explicit
 column, never the order of rows in a file. Change counts follow each key through
-time; a key's history is cut into months first, so a key with a third of all
-rows is spread over as many tasks as it has months.
+time; a key's history is cut into days first, so a key with a third of all
+rows is spread over as many tasks as it has days.
 """
 
 from __future__ import annotations
@@ -27,21 +27,21 @@ def greatest_wins(changes: DataFrame, key: list[str], value: str, order: list[st
     return changes.where(F.col(value).isNotNull()).groupBy(*key).agg(best).select(*key, (-F.col("_best._neg")).alias(value), *(F.col(f"_best.{c}").alias(c) for c in carried))
 
 
-def _month(c: Column) -> Column:
-    return F.coalesce(F.date_format(c, "yyyy-MM"), F.lit("0000-00"))
+def _day(c: Column) -> Column:
+    return F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("0000-00-00"))
 
 
 def effective_raises(changes: DataFrame, key: list[str], value: str, time: str, order: list[str]) -> DataFrame:
     """``changes``: how many rows of the log raised their key's value, a key's first value included.
 
-    Within a month by a window, between months by the greatest value of the
-    months before, which is one row a key and month.
+    Within a day by a window, between days by the greatest value of the days
+    before, which is one row a key and day.
     """
-    rows = changes.where(F.col(value).isNotNull()).withColumn("_m", _month(F.col(time)))
-    by_month = rows.groupBy(*key, "_m").agg(F.max(value).alias("_top"))
-    before = by_month.withColumn("_before", F.max("_top").over(Window.partitionBy(*key).orderBy("_m").rowsBetween(Window.unboundedPreceding, -1))).drop("_top")
-    within = Window.partitionBy(*key, "_m").orderBy(*(F.col(c).asc_nulls_first() for c in [time, *order])).rowsBetween(Window.unboundedPreceding, -1)
-    seen = rows.withColumn("_run", F.max(value).over(within)).join(before, [*key, "_m"])
+    rows = changes.where(F.col(value).isNotNull()).withColumn("_d", _day(F.col(time)))
+    by_day = rows.groupBy(*key, "_d").agg(F.max(value).alias("_top"))
+    before = by_day.withColumn("_before", F.max("_top").over(Window.partitionBy(*key).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1))).drop("_top")
+    within = Window.partitionBy(*key, "_d").orderBy(*(F.col(c).asc_nulls_first() for c in [time, *order])).rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.withColumn("_run", F.max(value).over(within)).join(before, [*key, "_d"])
     top = F.greatest("_run", "_before")
     return seen.agg(F.count_if(top.isNull() | (F.col(value) > top)).alias("changes"))
 
@@ -49,15 +49,32 @@ def effective_raises(changes: DataFrame, key: list[str], value: str, time: str,
 def effective_updates(changes: DataFrame, key: list[str], attributes: list[str], time: str, order: list[str]) -> DataFrame:
     """``changes``: how many rows of the log changed their key's attributes, a key's first row included."""
     attrs = F.struct(*attributes)
-    rows = changes.withColumn("_m", _month(F.col(time))).withColumn("_a", attrs)
-    by_month = rows.groupBy(*key, "_m").agg(F.max(F.struct(time, *order, "_a")).alias("_last"))
-    before = by_month.withColumn("_before", F.lag("_last._a").over(Window.partitionBy(*key).orderBy("_m"))).drop("_last")
-    within = Window.partitionBy(*key, "_m").orderBy(*(F.col(c).asc_nulls_first() for c in [time, *order]))
-    seen = rows.withColumn("_prev", F.lag("_a").over(within)).join(before, [*key, "_m"])
+    rows = changes.withColumn("_d", _day(F.col(time))).withColumn("_a", attrs)
+    by_day = rows.groupBy(*key, "_d").agg(F.max(F.struct(time, *order, "_a")).alias("_last"))
+    before = by_day.withColumn("_before", F.lag("_last._a").over(Window.partitionBy(*key).orderBy("_d"))).drop("_last")
+    within = Window.partitionBy(*key, "_d").orderBy(*(F.col(c).asc_nulls_first() for c in [time, *order]))
+    seen = rows.withColumn("_prev", F.lag("_a").over(within)).join(before, [*key, "_d"])
     was = F.coalesce("_prev", "_before")
     return seen.agg(F.count_if(was.isNull() | ~F.col("_a").eqNullSafe(was)).alias("changes"))
 
 
+def state_conflicts(state: DataFrame, changes: DataFrame, key: list[str], attributes: list[str]) -> DataFrame:
+    """Changes that differ from the stored row of their key, with what is stored as ``stored_*``. Nulls are values."""
+    stored = state.select(*key, *(F.col(c).alias(f"stored_{c}") for c in attributes))
+    differs = reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in attributes))
+    return changes.select(*key, *attributes).join(stored, key).where(differs)
+
+
+def insert_status(state: DataFrame, changes: DataFrame, key: list[str], order: list[str], attributes: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Status rows into a stored table: duplicates among the changes are folded, keys that are stored stay.
+
+    Returns the new table, the conflicts among the changes and those with the stored rows.
+    """
+    folded = fold_duplicates(changes, key, order, attributes)
+    new = insert_or_ignore(state.select(*key), folded.select(*key, *attributes), key, [])
+    return state.select(*key, *attributes).unionByName(new), fold_conflicts(changes, key, order, attributes), state_conflicts(state, folded, key, attributes)
+
+
 def insert_or_ignore(state: DataFrame, changes: DataFrame, key: list[str], first: list[str]) -> DataFrame:
     """``changes`` reduced to the first row of each key that ``state`` lacks. Nulls in a key are equal to each other."""
     rest = [c for c in changes.columns if c not in key]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import CATEGORY_PREFIXES, strip_category_prefix
@@ -75,6 +75,13 @@ def remap_duplicates(tags: DataFrame) -> DataFrame:
     return tags.join(first, "tag").where("tag_id <> canonical_id").select("tag_id", "canonical_id")
 
 
+def deduplicate_tags(tags: DataFrame) -> DataFrame:
+    """One row a tag, that of the smallest id; tags without a name are one tag."""
+    rest = [c for c in tags.columns if c not in ("tag", "tag_id")]
+    first = tags.groupBy("tag").agg(F.min(F.struct("tag_id", *rest)).alias("r"))
+    return first.select(*(F.col("tag") if c == "tag" else F.col(f"r.{c}").alias(c) for c in tags.columns))
+
+
 def apply_remap(rows: DataFrame, remap: DataFrame, columns: list[str]) -> DataFrame:
     """``rows`` with the ids in ``columns`` replaced; ids that are not remapped stay."""
     out = rows
@@ -97,10 +104,10 @@ def placeholder_repair(tags: DataFrame, status: DataFrame, usage: DataFrame, tra
     own = status.join(F.broadcast(marks) if marks.limit(10001).count() <= 10000 else marks, "tag_id").select("tag_id", "format_id", "preferred_tag_id").distinct()
     bare = marks.join(status.select("tag_id"), "tag_id", "left_anti").select("tag_id", F.lit(None).cast("long").alias("format_id"), F.lit(None).cast("long").alias("preferred_tag_id"), F.lit("delete_placeholder_only").alias("action"))
     taken = status.select(F.col("tag_id").alias("preferred_tag_id"), "format_id", F.lit(1).alias("taken")).distinct()
-    judged = own.join(taken, ["preferred_tag_id", "format_id"], "left").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("preferred_tag_id", "format_id").orderBy("tag_id"))
-    )
-    action = F.when(F.col("tag_id") == F.col("preferred_tag_id"), "delete_invalid_self_preferred").when(F.col("taken").isNotNull() | (F.col("rank") > 1), "delete_redundant_status").otherwise("reassign_status_to_preferred")
+    # the first claimant is a minimum, so a tag that most placeholders prefer is no hot window
+    first = own.groupBy("preferred_tag_id", "format_id").agg(F.min("tag_id").alias("first"))
+    judged = own.join(taken, ["preferred_tag_id", "format_id"], "left").join(first, ["preferred_tag_id", "format_id"])
+    action = F.when(F.col("tag_id") == F.col("preferred_tag_id"), "delete_invalid_self_preferred").when(F.col("taken").isNotNull() | (F.col("tag_id") > F.col("first")), "delete_redundant_status").otherwise("reassign_status_to_preferred")
     first = judged.select("tag_id", "format_id", "preferred_tag_id", action.alias("action"))
     counts = usage.select("tag_id", "format_id").distinct().join(marks, "tag_id").join(own, ["tag_id", "format_id"], "left")
     moved = counts.select(

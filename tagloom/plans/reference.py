@@ -398,6 +398,7 @@ def apply_remap(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("tag_id", "format_id", "preferred_tag_id").agg(F.count("*").alias("n_rows"))
 
 
+_MARKED_STATUS = "CASE WHEN t.tag IS NULL OR t.tag = '' THEN '__missing_tag_id_' || s.tag_id || '__' ELSE t.tag END"
 _MARKED = "CASE WHEN tag IS NULL OR tag = '' THEN '__missing_tag_id_' || tag_id || '__' ELSE tag END"
 
 
@@ -488,7 +489,7 @@ def format_statistics(spark: SparkSession, d: str) -> DataFrame:
     return views.format_statistics(*_t(spark, d, "tag_status", "tag_formats"))
 
 
-_OLD_NEW = """WITH o AS (SELECT t.tag, s.format_id, s.type_id, s.alias FROM tag_status s JOIN tags t USING (tag_id) WHERE s.created_at < TIMESTAMP '2022-01-01'),
+_OLD_NEW = """WITH o AS (SELECT t.tag, s.format_id, s.type_id, s.alias FROM tag_status s JOIN tags t USING (tag_id) WHERE s.created_at < TIMESTAMP '2022-01-01' OR s.created_at IS NULL),
  n AS (SELECT t.tag, s.format_id, s.type_id, s.alias FROM tag_status s JOIN tags t USING (tag_id) WHERE s.created_at >= TIMESTAMP '2022-01-01')"""
 
 
@@ -500,18 +501,75 @@ _OLD_NEW = """WITH o AS (SELECT t.tag, s.format_id, s.type_id, s.alias FROM tag_
 def detect_conflicts(spark: SparkSession, d: str) -> DataFrame:
     tags, status = _t(spark, d, "tags", "tag_status")
     rows = status.join(tags.select("tag_id", "tag"), "tag_id").select("tag", "format_id", "type_id", "alias", "created_at")
-    return views.detect_conflicts(rows.where("created_at < timestamp '2022-01-01'"), rows.where("created_at >= timestamp '2022-01-01'"))
+    return views.detect_conflicts(rows.where("created_at < timestamp '2022-01-01' or created_at is null"), rows.where("created_at >= timestamp '2022-01-01'"))
 
 
 @query(
-    f"""WITH r AS (SELECT s.*, {_MARKED.replace('tag_id', 's.tag_id')} AS tag_key FROM tag_status s LEFT JOIN tags t ON t.tag_id = s.tag_id)
+    f"""WITH r AS (SELECT s.*, {_MARKED_STATUS} AS tag_key FROM tag_status s LEFT JOIN tags t ON t.tag_id = s.tag_id)
  SELECT tag_key, format_id, count(*) AS n_rows, count(DISTINCT type_id) AS n_types, count(DISTINCT alias) AS n_aliases, count(DISTINCT preferred_tag_id) AS n_preferred FROM r GROUP BY ALL
- HAVING count(DISTINCT type_id) > 1 OR count(DISTINCT alias) > 1 OR count(DISTINCT preferred_tag_id) > 1""".replace("__missing_tag_id_", "__missing_tag_id_").replace("__missing_s.tag_id_", "__missing_tag_id_")
+ HAVING count(DISTINCT type_id) > 1 OR count(DISTINCT alias) > 1 OR count(DISTINCT preferred_tag_id) > 1"""
 )
 def status_conflicts(spark: SparkSession, d: str) -> DataFrame:
     return views.status_conflicts(*_t(spark, d, "tag_status", "tags"))
 
 
+@query(
+    f"""WITH r AS (SELECT s.*, {_MARKED_STATUS} AS tag_key, t.tag IS NULL OR t.tag = '' AS tag_missing FROM tag_status s LEFT JOIN tags t ON t.tag_id = s.tag_id),
+ k AS (SELECT tag_key, format_id FROM r GROUP BY ALL HAVING count(DISTINCT type_id) > 1 OR count(DISTINCT alias) > 1 OR count(DISTINCT preferred_tag_id) > 1)
+ SELECT r.format_id, coalesce(f.format_name, 'unknown') AS format_name, r.tag_key, r.tag_missing, r.tag_id, r.alias, r.type_id, r.preferred_tag_id, p.tag AS preferred_tag
+ FROM r JOIN k USING (tag_key, format_id) LEFT JOIN tags p ON p.tag_id = r.preferred_tag_id LEFT JOIN tag_formats f ON f.format_id = r.format_id"""
+)
+def status_conflict_details(spark: SparkSession, d: str) -> DataFrame:
+    return views.status_conflict_details(*_t(spark, d, "tag_status", "tags", "tag_formats"))
+
+
+@query(
+    "".join(
+        f"SELECT 'orphan_{t if c == 'tag_id' else c}' AS check, x.{c} AS tag_id, NULL::BIGINT AS format_id, CAST(count(*) AS VARCHAR) AS item FROM {_NO_TAG.format(t=t, c=c)} GROUP BY x.{c} UNION ALL "
+        for t, c in (("tag_status", "tag_id"), ("tag_status", "preferred_tag_id"), ("tag_usage_counts", "tag_id"), ("tag_translations", "tag_id"))
+    )
+    + f"""SELECT DISTINCT 'missing_type_format_mapping', NULL::BIGINT, format_id, CAST(type_id AS VARCHAR) FROM tag_status s WHERE {_NO_PAIR}
+ UNION ALL SELECT 'duplicate_tag_status', tag_id, format_id, CAST(count(*) AS VARCHAR) FROM tag_status GROUP BY tag_id, format_id HAVING count(*) > 1
+ UNION ALL SELECT 'duplicate_tags', min(tag_id), NULL, tag FROM tags WHERE tag IS NOT NULL GROUP BY tag HAVING count(*) > 1
+ UNION ALL SELECT DISTINCT 'alias_inconsistencies', tag_id, format_id, CAST(preferred_tag_id AS VARCHAR) FROM tag_status WHERE alias = 0 AND preferred_tag_id <> tag_id
+ UNION ALL SELECT DISTINCT 'bad_usage_counts', tag_id, format_id, CAST(count AS VARCHAR) FROM tag_usage_counts WHERE count IS NULL OR count < 0"""
+)
+def health_details(spark: SparkSession, d: str) -> DataFrame:
+    return views.health_details(*_t(spark, d, "tags", "tag_status", "tag_usage_counts", "tag_translations", "tag_type_format_mapping"))
+
+
+@query("SELECT tag, min(tag_id) AS tag_id, arg_min(source_tag, tag_id) FILTER (WHERE true) AS source_tag FROM (SELECT tag, tag_id, coalesce(source_tag, chr(0)) AS source_tag FROM tags) GROUP BY tag")
+def deduplicated_tags(spark: SparkSession, d: str) -> DataFrame:
+    return repair.deduplicate_tags(load(spark, d, "tags").select("tag_id", F.coalesce("source_tag", F.lit("\x00")).alias("source_tag"), "tag"))
+
+
+@query(
+    """WITH u AS (SELECT DISTINCT format_id, type_id FROM tag_status), m AS (SELECT max(type_name_id) AS top FROM tag_type_format_mapping)
+ SELECT format_id, type_id, type_name_id FROM tag_type_format_mapping UNION ALL
+ SELECT format_id, type_id, CASE WHEN type_id BETWEEN 0 AND top THEN type_id ELSE 0 END FROM u, m WHERE NOT EXISTS (SELECT 1 FROM tag_type_format_mapping x WHERE x.format_id = u.format_id AND x.type_id = u.type_id)"""
+)
+def repaired_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """The mapping after the repair of missing pairs."""
+    return repair.map_missing(*_t(spark, d, "tag_status", "tag_type_format_mapping"))[0].select("format_id", "type_id", "type_name_id")
+
+
+_STORED = "WITH o AS (SELECT tag_id, format_id, max(ROW(type_id, alias, preferred_tag_id)) AS s FROM tag_status WHERE created_at < TIMESTAMP '2022-01-01' OR created_at IS NULL GROUP BY ALL),"
+
+
+@query(
+    _STORED
+    + """ n AS (SELECT DISTINCT tag_id, format_id, type_id, alias, preferred_tag_id FROM tag_status WHERE created_at >= TIMESTAMP '2022-01-01')
+ SELECT n.*, o.s[1] AS stored_type_id, o.s[2] AS stored_alias, o.s[3] AS stored_preferred_tag_id FROM n JOIN o USING (tag_id, format_id)
+ WHERE n.type_id IS DISTINCT FROM o.s[1] OR n.alias IS DISTINCT FROM o.s[2] OR n.preferred_tag_id IS DISTINCT FROM o.s[3]"""
+)
+def stored_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Later status rows that differ from the stored row of their key."""
+    status, attributes = load(spark, d, "tag_status"), ["type_id", "alias", "preferred_tag_id"]
+    later = F.coalesce(F.col("created_at") >= F.lit("2022-01-01").cast("timestamp"), F.lit(False))
+    state = merge.last_wins(status.where(~later), ["tag_id", "format_id"], attributes, attributes)
+    return merge.state_conflicts(state, status.where(later).select("tag_id", "format_id", *attributes).distinct(), ["tag_id", "format_id"], attributes)
+
+
 @query(
     _PTAGS
     + """ SELECT DISTINCT s.tag_id, s.format_id, a.tag, b.tag AS preferred_tag FROM tag_status s JOIN p a ON a.tag_id = s.tag_id JOIN p b ON b.tag_id = s.preferred_tag_id

@@ -66,42 +66,74 @@ def alias_view(tags: DataFrame, status: DataFrame, usage: DataFrame, translation
     )
 
 
-def health(tags: DataFrame, status: DataFrame, usage: DataFrame, translations: DataFrame, mapping: DataFrame, formats: DataFrame) -> DataFrame:
-    """``metric, value``: totals and the number of findings of each check."""
-    n = F.count("*").alias("value")
+def _referred(status: DataFrame, usage: DataFrame, translations: DataFrame) -> DataFrame:
+    """How often each tag id is referred to, by field: ``tag_id, tag_status, preferred_tag_id, tag_usage_counts, tag_translations``."""
+    kinds = ("tag_status", "preferred_tag_id", "tag_usage_counts", "tag_translations")
+    keys = (status.select("tag_id"), status.select("preferred_tag_id"), usage.select("tag_id"), translations.select("tag_id"))
+    rows = reduce(DataFrame.unionByName, (df.toDF("tag_id").select("tag_id", F.lit(k).alias("kind")) for k, df in zip(kinds, keys)))
+    return rows.where("tag_id is not null").groupBy("tag_id").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
+
 
-    def total(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(n).select(F.lit(name).alias("metric"), "value")
+def health(tags: DataFrame, status: DataFrame, usage: DataFrame, translations: DataFrame, mapping: DataFrame, formats: DataFrame) -> DataFrame:
+    """``metric, value``: totals and the number of findings of each check.
 
+    References are counted per id before they meet the tags, once for all
+    checks; the other checks are one aggregation a table.
+    """
+    n = F.count("*").alias("n")
+    some = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    known = formats.select("format_id").distinct().withColumn("known", F.lit(True))
+    lost = _referred(status, usage, translations).join(tags.select("tag_id"), "tag_id", "left_anti")
+    lost = lost.agg(*(some(c).alias(c) for c in ("tag_status", "preferred_tag_id", "tag_usage_counts", "tag_translations")))
+    kinds = status.groupBy("format_id", "type_id").agg(n, F.count_if(F.expr("alias = 0 and preferred_tag_id <> tag_id")).alias("inconsistent"))
+    paired = mapping.select("format_id", "type_id").distinct().withColumn("mapped", F.lit(True))
+    kinds = kinds.join(paired, ["format_id", "type_id"], "left").join(known, "format_id", "left").agg(
+        some(F.when(F.col("mapped").isNull(), F.col("n"))).alias("unmapped"), F.count_if(F.col("mapped").isNull()).alias("unmapped_pairs"), some("inconsistent").alias("inconsistent"),
+        some(F.when(F.col("known").isNull(), F.col("n"))).alias("status_formats"),
+    )
+    counts = usage.groupBy("format_id").agg(n, F.count_if(F.expr("count is null or count < 0")).alias("bad")).join(known, "format_id", "left")
+    counts = counts.agg(some("n").alias("usage"), some("bad").alias("bad"), some(F.when(F.col("known").isNull(), F.col("n"))).alias("usage_formats"))
+    rows = status.groupBy("tag_id", "format_id").agg(n).agg(some("n").alias("status"), F.count_if(F.col("n") > 1).alias("same_status"))
+    names = tags.groupBy("tag").agg(n).agg(some("n").alias("tags"), F.count_if(F.expr("n > 1 and tag is not null")).alias("same_tags"))
+    one = reduce(DataFrame.crossJoin, (lost, kinds, counts, rows, names, translations.agg(F.count("*").alias("translations"))))  # one row each
+    metrics = {
+        "total_tags": "tags", "total_tag_status": "status", "total_translations": "translations", "total_usage_counts": "usage",
+        "foreign_key_violations": "tag_status + preferred_tag_id + tag_usage_counts + tag_translations + status_formats + usage_formats + unmapped",
+        "missing_type_format_mapping_pairs": "unmapped_pairs", "orphan_tag_status": "tag_status", "orphan_usage_counts": "tag_usage_counts", "orphan_translations": "tag_translations",
+        "duplicate_tags": "same_tags", "duplicate_tag_status": "same_status", "alias_inconsistencies": "inconsistent", "bad_usage_counts": "bad",
+    }
+    return one.select(F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), F.expr(e).cast("long").alias("value")) for m, e in metrics.items()))))
+
+
+def health_details(tags: DataFrame, status: DataFrame, usage: DataFrame, translations: DataFrame, mapping: DataFrame) -> DataFrame:
+    """``check, tag_id, format_id, item``: the rows that each check of ``health`` finds, one a key.
+
+    ``item`` is the type, the tag, the count, the target or the number of rows
+    that is at fault, as text. Reports are written sorted by all columns.
+    """
+    none = F.lit(None).cast("long")
     ids = tags.select("tag_id")
-    without = lambda df, c: df.where(F.col(c).isNotNull()).join(ids.select(F.col("tag_id").alias(c)), c, "left_anti")
-    pairs = status.select("format_id", "type_id").distinct().join(mapping, ["format_id", "type_id"], "left_anti")
-    dup = lambda df, *k: df.groupBy(*k).agg(F.count("*").alias("n")).where("n > 1")
-    foreign = [
-        without(status, "tag_id").select("tag_id"),
-        without(status, "preferred_tag_id").select("preferred_tag_id"),
-        without(usage, "tag_id").select("tag_id"),
-        without(translations, "tag_id").select("tag_id"),
-        status.join(formats.select("format_id"), "format_id", "left_anti").select("format_id"),
-        usage.join(formats.select("format_id"), "format_id", "left_anti").select("format_id"),
-        status.select("format_id", "type_id").join(mapping.select("format_id", "type_id"), ["format_id", "type_id"], "left_anti").select("format_id"),
-    ]
-    parts = [
-        total("total_tags", tags),
-        total("total_tag_status", status),
-        total("total_translations", translations),
-        total("total_usage_counts", usage),
-        reduce(DataFrame.unionByName, (f.toDF("x").agg(n) for f in foreign)).agg(F.sum("value").alias("value")).select(F.lit("foreign_key_violations").alias("metric"), "value"),
-        total("missing_type_format_mapping_pairs", pairs),
-        total("orphan_tag_status", status.join(ids, "tag_id", "left_anti")),
-        total("orphan_usage_counts", usage.join(ids, "tag_id", "left_anti")),
-        total("orphan_translations", translations.join(ids, "tag_id", "left_anti")),
-        total("duplicate_tags", dup(tags.where("tag is not null"), "tag")),
-        total("duplicate_tag_status", dup(status, "tag_id", "format_id")),
-        total("alias_inconsistencies", status.where("alias = 0 and preferred_tag_id <> tag_id")),
-        total("bad_usage_counts", usage.where("count is null or count < 0")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    found = lambda df, check, tag, form, item: df.select(F.lit(check).alias("check"), tag.alias("tag_id"), form.alias("format_id"), item.cast("string").alias("item"))
+    lost = _referred(status, usage, translations).join(ids, "tag_id", "left_anti")
+    each = F.inline(F.array(*(F.struct(F.lit(f"orphan_{c}").alias("check"), F.col(c).alias("n")) for c in ("tag_status", "preferred_tag_id", "tag_usage_counts", "tag_translations"))))
+    orphans = lost.select("tag_id", each).where("n > 0").select("check", "tag_id", none.alias("format_id"), F.col("n").cast("string").alias("item"))
+    pairs = status.groupBy("format_id", "type_id").agg(F.count("*").alias("n")).join(mapping, ["format_id", "type_id"], "left_anti")
+    twice = status.groupBy("tag_id", "format_id").agg(F.count("*").alias("n")).where("n > 1")
+    same = tags.where("tag is not null").groupBy("tag").agg(F.min("tag_id").alias("tag_id"), F.count("*").alias("n")).where("n > 1")
+    wrong = status.where("alias = 0 and preferred_tag_id <> tag_id").select("tag_id", "format_id", "preferred_tag_id").distinct()
+    bad = usage.where("count is null or count < 0").select("tag_id", "format_id", "count").distinct()
+    c = F.col
+    return reduce(
+        DataFrame.unionByName,
+        (
+            orphans,
+            found(pairs, "missing_type_format_mapping", none, c("format_id"), c("type_id")),
+            found(twice, "duplicate_tag_status", c("tag_id"), c("format_id"), c("n")),
+            found(same, "duplicate_tags", c("tag_id"), none, c("tag")),
+            found(wrong, "alias_inconsistencies", c("tag_id"), c("format_id"), c("preferred_tag_id")),
+            found(bad, "bad_usage_counts", c("tag_id"), c("format_id"), c("count")),
+        ),
+    )
 
 
 def format_statistics(status: DataFrame, formats: DataFrame) -> DataFrame:
@@ -130,6 +162,17 @@ def status_conflicts(status: DataFrame, tags: DataFrame) -> DataFrame:
     return agg.where("n_types > 1 or n_aliases > 1 or n_preferred > 1")
 
 
+def status_conflict_details(status: DataFrame, tags: DataFrame, formats: DataFrame) -> DataFrame:
+    """``format_id, format_name, tag_key, tag_missing, tag_id, alias, type_id, preferred_tag_id, preferred_tag``: the rows behind ``status_conflicts``."""
+    missing = F.col("tag").isNull() | (F.col("tag") == "")
+    key = F.when(missing, F.format_string("__missing_tag_id_%d__", "tag_id")).otherwise(F.col("tag"))
+    name = tags.select("tag_id", "tag")
+    rows = status.join(name, "tag_id", "left").withColumns({"tag_key": key, "tag_missing": missing})
+    hit = rows.join(status_conflicts(status, tags).select("tag_key", "format_id"), ["tag_key", "format_id"], "left_semi")
+    out = hit.join(name.toDF("preferred_tag_id", "preferred_tag"), "preferred_tag_id", "left").join(formats.select("format_id", "format_name"), "format_id", "left")
+    return out.select("format_id", F.coalesce("format_name", F.lit("unknown")).alias("format_name"), "tag_key", "tag_missing", "tag_id", "alias", "type_id", "preferred_tag_id", "preferred_tag")
+
+
 def prefix_inversions(status: DataFrame, tags: DataFrame, prefixes: tuple[str, ...] = ("meta:", "artist:")) -> DataFrame:
     """``tag_id, format_id, tag, preferred_tag``: aliases whose target carries a prefix that they lack."""
     any_of = lambda c: reduce(lambda a, b: a | b, (c.ilike(f"{p}%") for p in prefixes))

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tagloom.functions.text import blank_to_null, clean_count, to_long
+from tagloom.functions.text import blank_to_null, canonicalize_source_tag, clean_count, to_long
 from tagloom.operators.register import SINKS
+from tagloom.operators.repair import apply_remap, deduplicate_tags, remap_duplicates
 
 ROWS_PER_TASK = 500_000
 
@@ -47,7 +48,9 @@ class SqliteReader(DataSourceReader):
         return [] if low is None else [RowRange(i, min(high, i + self.rows - 1)) for i in range(low, high + 1, self.rows)]
 
     def read(self, partition: RowRange) -> Iterator[tuple]:
-        names = ", ".join(f"CAST({quoted(c)} AS TEXT)" for c in self.columns)
+        # whole numbers that are stored as floating ones keep their integer form
+        whole = "CASE WHEN typeof({0}) = 'real' AND {0} = CAST({0} AS INTEGER) THEN CAST(CAST({0} AS INTEGER) AS TEXT) ELSE CAST({0} AS TEXT) END"
+        names = ", ".join(whole.format(quoted(c)) for c in self.columns)
         con = sqlite3.connect(f"file:{self.path}?mode=ro", uri=True)
         try:
             yield from con.execute(f"SELECT rowid, {names} FROM {quoted(self.table)} WHERE rowid BETWEEN ? AND ? ORDER BY rowid", (partition.low, partition.high))
@@ -166,7 +169,7 @@ def read_site(spark: SparkSession, path: str, format_id: int, overrides: DataFra
     named = shape.kind == "named_types"
     flag = F.lit(False) if not shape.deprecated else F.coalesce(to_long(F.col(shape.deprecated)) != 0, F.lower(F.col(shape.deprecated)).isin("true", "t", "yes"), F.lit(False))
     if named:
-        flag = flag | F.coalesce(F.col(shape.type) == "deprecated", F.lit(False))
+        flag = flag | F.coalesce(F.lower(F.col(shape.type)) == "deprecated", F.lit(False))
     base = rows.select(
         F.col("row_id").alias("ord"),
         F.col(shape.tag).alias("source_tag"),
@@ -188,6 +191,48 @@ def read_site(spark: SparkSession, path: str, format_id: int, overrides: DataFra
     return full.unionByName(lost, allowMissingColumns=True), conflicts
 
 
+#: Columns of the tables of an older database, beside their keys and dates. Dates stay text.
+LEGACY = {
+    "tags": ("TAGS", "tag_id long, tag string, source_tag string, created_at string, updated_at string"),
+    "tag_status": ("TAG_STATUS", "tag_id long, format_id long, type_id long, alias int, preferred_tag_id long, created_at string, updated_at string"),
+    "tag_translations": ("TAG_TRANSLATIONS", "translation_id long, tag_id long, language string, translation string, created_at string, updated_at string"),
+    "tag_usage_counts": ("TAG_USAGE_COUNTS", "tag_id long, format_id long, count long, created_at string, updated_at string"),
+}
+#: Columns that newer status tables have, with what older rows get.
+ADDED_STATUS = {"deprecated": ("int", 0), "deprecated_at": ("string", None), "source_created_at": ("string", None)}
+
+
+def read_legacy(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The four tables of an older database, typed, source forms canonical. A missing table is an error."""
+    out = {}
+    for name, (table, schema) in LEGACY.items():
+        fields = [f.split() for f in schema.split(", ")]
+        if not set(n for n, _ in fields) <= set(table_columns(path, table)):
+            raise ValueError(f"{path}: {table} lacks columns of {schema}")
+        rows = read_table(spark, path, table, [n for n, _ in fields])
+        out[name] = rows.select(*(F.col(n).try_cast(kind).alias(n) for n, kind in fields))
+    out["tags"] = out["tags"].withColumn("source_tag", canonicalize_source_tag(F.col("source_tag")))
+    return out
+
+
+def unify(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tables of which each tag has one id, the smallest: references follow, and the other tags rows go."""
+    remap = remap_duplicates(tables["tags"])
+    refers = {"tag_status": ["tag_id", "preferred_tag_id"], "tag_translations": ["tag_id"], "tag_usage_counts": ["tag_id"]}
+    return {"tags": deduplicate_tags(tables["tags"])} | {n: apply_remap(tables[n], remap, columns) for n, columns in refers.items()}
+
+
+def migrate_status(status: DataFrame) -> DataFrame:
+    """A status table with the columns of newer ones; columns that are there stay as they are."""
+    return status.select("*", *(F.lit(value).cast(kind).alias(c) for c, (kind, value) in ADDED_STATUS.items() if c not in status.columns))
+
+
+def probe_site(path: str) -> dict[str, str | bool | None]:
+    """What a site's database holds: the column of names (``name`` or ``tag``), and whether there is an alias table."""
+    columns = table_columns(path, "tags")
+    return {"name_column": next((c for c in ("name", "tag") if c in columns), None), "has_aliases": {"alias", "tag"} <= set(table_columns(path, "tag_aliases"))}
+
+
 # Site folders and their formats.
 SITE_FORMATS = {
     "anime-pictures.net": 14, "booru.allthefallen.moe": 5, "chan.sankakucomplex.com": 6, "danbooru.donmai.us": 1, "e621.net": 2, "en.pixiv.net": 18, "gelbooru.com": 7, "hypnohub.net": 10, "konachan.com": 11, "konachan.net": 12,
@@ -198,3 +243,8 @@ SITE_FORMATS = {
 def site_format(folder: str) -> int:
     """The format of a site's folder, 0 where it is unknown."""
     return SITE_FORMATS.get(folder, 0)
+
+
+def format_site(format_id: int) -> str | None:
+    """The first site folder of a format, None where it has none."""
+    return next((site for site, f in SITE_FORMATS.items() if f == format_id), None)
