@@ -122,6 +122,22 @@ def clean_count(c: Column) -> Column:
     return F.when(n >= 0, n)
 
 
+def unicode_escape(c: Column) -> Column:
+    """A text in ASCII, other characters and the backslash escaped as Python writes them."""
+    units = F.regexp_extract_all(c, F.lit("(?s)."), 0)
+    plain = {"\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t"}
+
+    def one(ch: Column) -> Column:
+        utf32 = F.lower(F.hex(F.encode(ch, "UTF-32")))
+        code = F.conv(utf32, 16, 10).cast("long")
+        out = F.when(code.between(32, 126) & (ch != "\\"), ch)
+        for k, v in plain.items():
+            out = out.when(ch == k, F.lit(v))
+        return out.when(code < 256, F.concat(F.lit("\\x"), F.substring(utf32, 7, 2))).when(code < 65536, F.concat(F.lit("\\u"), F.substring(utf32, 5, 4))).otherwise(F.concat(F.lit("\\U"), utf32))
+
+    return F.array_join(F.transform(units, one), "")
+
+
 def fffd_candidates(c: Column) -> Column:
     """Rewrites of a text with replacement characters: ``*``, ``e`` and nothing, in this order."""
     bad = F.lit("�")

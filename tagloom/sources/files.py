@@ -111,6 +111,16 @@ def translation_pairs(df: DataFrame, language: str = "ja") -> DataFrame:
     return out.where(F.trim("source_tag") != "")
 
 
+def read_translations(spark: SparkSession, path: str, split: str = "train", revision: str | None = None) -> DataFrame:
+    """A translation data set from a folder of Parquet files: its revision and its split if it has such folders, or files named for the split."""
+    at = os.path.join(path, revision) if revision else path
+    for folder in (os.path.join(at, split), os.path.join(at, "data", split)):
+        if os.path.isdir(folder):
+            return spark.read.parquet(folder)
+    named = sorted(os.path.join(d, f) for d, _, files in os.walk(at) for f in files if f.endswith(".parquet") and f.startswith(f"{split}-"))
+    return spark.read.parquet(*named) if named else spark.read.option("recursiveFileLookup", "true").parquet(at)
+
+
 def unpivot_translations(rows: DataFrame, languages: list[str], key: str = "source_tag") -> DataFrame:
     """``source_tag, language, translation``: one row a name of every language column."""
     long = rows.select(key, *(F.col(f"`{c}`").cast("string").alias(c) for c in languages)).unpivot([key], languages, "language", "packed")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.plans.views import TYPE_NAMES
+
 # Formats by id, and the type name of each type of a format.
 FORMATS = (
     "unknown danbooru e621 derpibooru safebooru allthefallen sankaku gelbooru rule34 xbooru hypnohub konachan konachan-net "
@@ -25,11 +27,15 @@ TYPES = {
 
 
 def formats(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, n, None) for i, n in enumerate(FORMATS)], "format_id long, format_name string, description string")
+    return spark.createDataFrame([(i, n, "") for i, n in enumerate(FORMATS)], "format_id long, format_name string, description string")
+
+
+def type_names(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, n, "") for i, n in enumerate(TYPE_NAMES)], "type_name_id long, type_name string, description string")
 
 
 def mappings(spark: SparkSession) -> DataFrame:
-    rows = [(f, t, n, None) for f, types in sorted(TYPES.items()) for t, n in types.items()]
+    rows = [(f, t, n, TYPE_NAMES[n]) for f, types in sorted(TYPES.items()) for t, n in types.items()]
     return spark.createDataFrame(rows, "format_id long, type_id long, type_name_id long, description string")
 
 

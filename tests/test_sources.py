@@ -1,13 +1,17 @@
 import json
+import os
 import sqlite3
 
 import pytest
+from pyspark.sql import functions as F
 
-from tagloom.control import filters
+from tagloom.control import cli, filters
+from tagloom.control import sources as control
+from tagloom.functions.text import unicode_escape
 from tagloom.plans import pipeline
 from tagloom.plans.pipeline import build
-from tagloom.sources import files, sinks
-from tagloom.sources.sqlite import detect_shape, read_site, read_table, site_format
+from tagloom.sources import files, master, sinks
+from tagloom.sources.sqlite import detect_shape, format_site, migrate_status, probe_site, read_legacy, read_site, read_table, site_format, unify
 
 
 def database(path, tables):
@@ -215,3 +219,130 @@ def test_build_repairs(spark, tmp_path):
         (1, "delete_placeholder_after_repair"), (1, "move_usage_count_to_preferred"), (1, "reassign_status_to_preferred"), (2, "delete_placeholder_after_repair"), (2, "delete_redundant_status"), (2, "move_usage_count_to_preferred"),
         (3, "delete_invalid_self_preferred"), (3, "delete_placeholder_after_repair"), (3, "delete_usage_count_unmappable"), (4, "delete_placeholder_only"), (7, "delete_redundant_status"), (7, "has_extra_rows_needs_manual"), (8, "delete_invalid_self_preferred"),
     ]
+
+
+def test_translations_and_effects(spark, tmp_path):
+    database(tmp_path / "s" / "yande.re" / "tags.sqlite", {"tags": ("name TEXT, count REAL, type REAL", [("Witch", 3.0, 0.0), ("broom", 2.5, 1.0)])})
+    first = build(spark, str(tmp_path / "s"))
+    usage = {r["tag_id"]: r["count"] for r in first["tag_usage_counts"].collect()}
+    assert 3 in usage.values()  # whole numbers of a REAL column are counts
+    assert {r["type_id"] for r in first["tag_status"].collect()} == {0, 1}
+    rows = spark.createDataFrame([("witch", "魔女,まじょ", False), ("nobody", "だれ", False), ("witch", "abc", False)], "tag string, japanese string, is_deleted boolean")
+    rows.write.parquet(str(tmp_path / "told" / "train"))
+
+    def broken():
+        raise OSError("no such data set")
+
+    told = {"hf://datasets/x/told": lambda: files.read_translations(spark, str(tmp_path / "told")), "hf://datasets/x/broken": broken}
+    out = build(spark, str(tmp_path / "s"), base=first, translations_of=told)
+    assert {r["translation"] for r in out["tag_translations"].collect()} == {"魔女", "まじょ"}
+    effects = {(r["source"], r["action"]): (r["rows_read"], r["db_changes"]) for r in out["source_effects"].collect()}
+    assert effects["hf://datasets/x/told", "imported"] == (3, 3) and effects["hf://datasets/x/broken", "read_failed"] == (0, 0)
+    assert effects["external_sources/site_tags/yande.re/tags.sqlite", "imported"] == (2, 0)
+    assert effects["TAG_TRANSLATIONS", "cleanup_deleted"] == (0, 1) and effects["base", "loaded"] == (2, 0)
+    assert {(r["source"], r["db_changes"]) for r in first["source_effects"].collect()} == {("external_sources/site_tags/yande.re/tags.sqlite", 5)}
+
+
+def test_legacy_database(spark, tmp_path):
+    stamps = "created_at TEXT, updated_at TEXT"
+    path = database(tmp_path / "old.db", {
+        "TAGS": (f"tag_id INTEGER, tag TEXT, source_tag TEXT, {stamps}", [(1, "a", "A", "x", "y"), (2, "b", "b", None, None), (3, "a", "a", None, None)]),
+        "TAG_STATUS": (f"tag_id INTEGER, format_id INTEGER, type_id INTEGER, alias INTEGER, preferred_tag_id INTEGER, {stamps}", [(3, 1, 0, 0, 3, None, None), (2, 1, 0, 1, 3, None, None)]),
+        "TAG_TRANSLATIONS": (f"translation_id INTEGER, tag_id INTEGER, language TEXT, translation TEXT, {stamps}", [(1, 3, "ja", "あ", None, None)]),
+        "TAG_USAGE_COUNTS": (f"tag_id INTEGER, format_id INTEGER, count INTEGER, {stamps}", [(3, 1, 7, None, None)]),
+    })
+    old = read_legacy(spark, path)
+    assert sorted(r["source_tag"] for r in old["tags"].collect()) == ["a", "a", "b"]
+    one = unify(old)
+    assert sorted((r["tag_id"], r["tag"]) for r in one["tags"].collect()) == [(1, "a"), (2, "b")]
+    assert sorted((r["tag_id"], r["preferred_tag_id"]) for r in one["tag_status"].collect()) == [(1, 1), (2, 1)]
+    assert one["tag_translations"].first()["tag_id"] == one["tag_usage_counts"].first()["tag_id"] == 1
+    new = migrate_status(one["tag_status"])
+    assert [r["deprecated"] for r in new.collect()] == [0, 0] and migrate_status(new).columns == new.columns
+    with pytest.raises(ValueError):
+        read_legacy(spark, database(tmp_path / "bad.db", {"TAGS": ("tag_id INTEGER", [(1,)])}))
+    assert probe_site(path) == {"name_column": "tag", "has_aliases": False} and format_site(16) == "yande.re" and format_site(99) is None
+
+
+def test_finished_database(spark, tmp_path):
+    path = str(tmp_path / "out.db")
+    tables = {"TAG_FORMATS": master.formats(spark), "TAG_TYPE_NAME": master.type_names(spark), "TAGS": spark.createDataFrame([(1, "a", "a", "not there")], "tag_id long, source_tag string, tag string, more string")}
+    sinks.write_database(tables, path, "v1")
+    sinks.set_version(path, "v2")
+    assert not sinks.create_database(path)
+    with sqlite3.connect(path) as con:
+        assert con.execute("SELECT value FROM DATABASE_METADATA WHERE key = 'version'").fetchall() == [("v2",)]
+        assert con.execute("SELECT count(*) FROM TAG_TYPE_NAME WHERE description = ''").fetchone() == (20,)
+        assert con.execute("SELECT created_at IS NOT NULL FROM TAGS").fetchone() == (1,)
+        assert {r[0] for r in con.execute("SELECT name FROM sqlite_master WHERE type = 'index' AND name LIKE 'idx%'")} == set(sinks.SQLITE_INDEXES)
+        con.execute("PRAGMA foreign_keys = ON")
+        with pytest.raises(sqlite3.IntegrityError):
+            con.execute("INSERT INTO TAGS (tag_id, source_tag, tag) VALUES (2, 'x', 'a')")
+        con.execute("INSERT INTO TAG_TYPE_FORMAT_MAPPING VALUES (1, 0, 1, '')")
+        with pytest.raises(sqlite3.IntegrityError):
+            con.execute("INSERT INTO TAG_STATUS (tag_id, format_id, type_id, alias, preferred_tag_id) VALUES (1, 1, 0, 1, 1)")
+        with pytest.raises(ValueError):
+            sinks.apply_profile(con, "other")
+    assert [r["description"] for r in master.mappings(spark).where("format_id = 2 and type_id = 2").collect()] == ["contributor"]
+
+
+def test_more_reports(spark, tmp_path):
+    conflicts = spark.createDataFrame([("a", 1, "type_id", 0, 1)], "tag string, format_id long, kind string, old_value long, new_value long")
+    out = sinks.export_conflicts(conflicts, str(tmp_path / "c"))
+    assert out["alias_changes"] is None and open(out["type_id_conflicts"]).read().splitlines() == ["tag,format_id,old_value,new_value", "a,1,0,1"]
+    p = sinks.write_unknown_column({"decision": "unknown", "underscore": 0.5, "confidence": "low\tx"}, "/data/f.csv", "tag", str(tmp_path / "u"))
+    assert p.endswith("f__unknown_tag.tsv") and open(p).read().splitlines()[1].split("\t")[:5] == ["/data/f.csv", "tag", "unknown", "low x", "0.5"]
+    view = spark.createDataFrame([(i, i % 3) for i in range(1, 200)], "tag_id long, v long")
+    sinks.write_view_shards(view, str(tmp_path / "v"), ids_per_shard=50)
+    assert sorted(x for x in os.listdir(tmp_path / "v") if x.startswith("shard")) == ["shard=0", "shard=1", "shard=2", "shard=3"]
+    assert sorted(r["tag_id"] for r in sinks.read_view_range(spark, str(tmp_path / "v"), 40, 60, ids_per_shard=50).collect()) == list(range(40, 61))
+    sinks.write_report(view, str(tmp_path / "r"), order=[F.desc("v"), "tag_id"])
+    assert [r["tag_id"] for r in spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "r")).limit(2).collect()] == ["2", "5"]
+    meta = sinks.write_metadata(spark.createDataFrame([("m", 1)], "metric string, value long"), str(tmp_path / "m.json"), {"v": view}, None, str(tmp_path / "m"))
+    assert meta["schema"] == {"v": [{"name": "tag_id", "type": "bigint"}, {"name": "v", "type": "bigint"}]} and meta["generated_at"].endswith("+00:00")
+    values = ["a\\b", "é日", "\x00\n\t\x7f", "😀", ""]
+    got = spark.createDataFrame([(x,) for x in values], "s string").select("s", unicode_escape(F.col("s")).alias("e")).collect()
+    assert {r["s"]: r["e"] for r in got} == {s: s.encode("unicode_escape").decode() for s in values}
+
+
+def test_source_control(spark, tmp_path):
+    p = tmp_path / "sources.yml"
+    p.write_text("sources:\n - {id: a, applies_to: [x, y]}\n - {id: b, enabled: false, applies_to: [x]}\n - {id: c, repo_id: o/c}\n")
+    listed = control.load_sources(str(p))
+    assert [s["id"] for s in listed] == ["a", "c"] and [s["id"] for s in control.for_target(listed, "x")] == ["a"]
+    e = tmp_path / "e.tsv"
+    e.write_text("external_sources/a/t.csv\timported\t5\t2\tn\nhf://datasets/o/c\timported\t5\t0\tn\nshort\trow\n")
+    rows = control.read_effects(str(e))
+    assert len(rows) == 2 and [(r["source"], s["id"]) for r, s in control.effective(rows, listed)] == [("external_sources/a/t.csv", "a")]
+    e.write_text("source\taction\trows_read\tdb_changes\tnote\nhf://datasets/o/c\timported\t5\t1\tn\n")
+    assert [s["id"] for _, s in control.effective(control.read_effects(str(e)), listed)] == ["c"] and control.matching_source("else", listed) is None
+    e.write_text("metric\tvalue\na\t1\nb\n")
+    assert control.read_summary(str(e)) == {"a": "1"} and control.read_summary("none") == {} == dict(control.read_effects("none"))
+    assert control.is_snapshot("/x/Danbooru_241016.csv") and not control.is_snapshot("danbooru_24.csv") and not control.is_snapshot("danbooru_241016.csv.bak")
+    assert control.latest(str(tmp_path), "*.none") is None and control.latest(str(tmp_path), "*.yml") == str(p)
+    assert control.join_filters(["b # x\na\n", "# y\na\nc"]) == ["b", "a", "c"]
+    m = control.create_manifest("1", "x", listed, "now", base_db={"revision": "r"}, statistics={})
+    filters.write_manifest(str(tmp_path / "m.json"), m["sources"], m["build_info"])
+    assert control.load_manifest(str(tmp_path / "m.json"))["build_info"]["base_db"] == {"revision": "r"} and control.load_manifest("none") is None
+    q = tmp_path / "f.csv"
+    q.write_text("tag\nwitch hat\nred_eyes\nx_y\nmage staff\n")
+    source = control.FileSource(spark, str(q), report_folder=str(tmp_path / "u"))
+    with pytest.raises(files.NormalizedSourceSkipError):
+        source.read()
+    assert os.listdir(tmp_path / "u") == ["f__unknown_tag.tsv"] and source.repair(1) == 1
+    with pytest.raises(ValueError):
+        control.FileSource(spark, "x.doc").read()
+
+
+def test_commands(spark, tmp_path):
+    database(tmp_path / "s" / "yande.re" / "tags.sqlite", {"tags": ("name TEXT, count INTEGER, type INTEGER", [("Witch", 3, 0), ("meta:x", 2, 1)])})
+    a = cli.arguments().parse_args(["build", "--root", str(tmp_path / "s"), "--out", str(tmp_path / "o"), "--sqlite", str(tmp_path / "o.db"), "--version", "7"])
+    assert cli.run_build(spark, a) == 0
+    assert json.load(open(tmp_path / "o" / "health.json"))["total_tags"] == 2
+    with sqlite3.connect(tmp_path / "o.db") as con:
+        assert con.execute("SELECT count(*) FROM TAG_STATUS").fetchone() == (2,)
+    status = spark.read.parquet(str(tmp_path / "o" / "tag_status.parquet"))
+    for name, report in (("health", "health_details"), ("inversions", "prefix_inversions"), ("unicode", "bad_unicode")):
+        assert cli.run_report(spark, cli.arguments().parse_args([name, "--tables", str(tmp_path / "o"), "--out", str(tmp_path / "r")])) == 0
+        assert os.path.isdir(tmp_path / "r" / report)
+    assert status.count() == 2
