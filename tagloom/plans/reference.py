@@ -38,7 +38,7 @@ def _escape(x: str) -> str:
 
 def _normalize(x: str) -> str:
     """SQL of the normalised form; x is a column of stripped text."""
-    folded = f"replace(translate({x}, '{text.FULL_WIDTH}', '{text.HALF_WIDTH}'), chr(65340), '\\\\')"
+    folded = f"replace(translate({x}, '：，．；！？（）［］｛｝／＋＝－＊＆％＃＠＾～｜＜＞　', ':,.;!?()[]{{}}/+=-*&%#@^~|<> '), chr(65340), '\\\\')"
     return _escape(f"CASE WHEN {_kaomoji(x)} THEN {x} ELSE {_strip(f'''replace(lower({folded}), '_', ' ')''')} END")
 
 
@@ -91,8 +91,9 @@ def split_translations(spark: SparkSession, d: str) -> DataFrame:
 
 def _language(c: str) -> str:
     low = f"lower({_strip(c)})"
-    whens = "".join(f" WHEN {low} LIKE '%\\{s}' ESCAPE '\\' THEN '{code}'" for s, code in lang.SUFFIXES.items())
-    whens += f" WHEN {low} IN {lang.KNOWN_CODES} THEN {low}" + "".join(f" WHEN {low} = '{n}' THEN '{code}'" for n, code in lang.NAMES.items())
+    whens = "".join(f" WHEN {low} LIKE '%\\{s}' ESCAPE '\\' THEN '{code}'" for s, code in (("_jp", "ja"), ("_ja", "ja"), ("_ru", "ru"), ("_ko", "ko"), ("_zh", "zh")))
+    whens += f" WHEN {low} IN ('ja', 'en', 'zh', 'ko', 'fr', 'de', 'es', 'ru', 'pt', 'it', 'vi', 'th', 'zh-cn', 'zh-hk') THEN {low}"
+    whens += f" WHEN {low} = 'japanese' THEN 'ja' WHEN {low} = 'english' THEN 'en' WHEN {low} = 'chinese' THEN 'zh' WHEN {low} = 'korean' THEN 'ko' WHEN {low} = 'french' THEN 'fr' WHEN {low} = 'german' THEN 'de' WHEN {low} = 'spanish' THEN 'es' WHEN {low} = 'russian' THEN 'ru'"
     return f"CASE WHEN {_strip(c)} = '' THEN '' WHEN {low} LIKE 'trans\\_%' ESCAPE '\\' THEN substr({_strip(c)}, 7) {whens} ELSE substr({low}, 1, 2) END"
 
 
@@ -101,7 +102,7 @@ def infer_language(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "tag_translations").where("language is not null").groupBy(lang.infer_language(F.col("language")).alias("code")).agg(F.count("*").alias("n_rows"))
 
 
-_PREFIX = "(?:" + "|".join(text.CATEGORY_PREFIXES) + ")"
+_PREFIX = "(?:general|artist|copyright|character|species|invalid|meta|lore):"
 
 
 @query(f"SELECT tag_id, nullif({_strip(f'''regexp_extract(tag, '(?s)^{_PREFIX}(.*)$', 1)''')}, '') AS base FROM (SELECT tag_id, 'artist:' || tag AS tag FROM tags UNION ALL SELECT tag_id, tag FROM tags)")
@@ -352,18 +353,23 @@ def missing_mappings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _prefixed(tags: DataFrame) -> DataFrame:
-    """Tags of which every one with a bracket carries a category prefix: the tables hold none of their own."""
-    return tags.select("tag_id", F.when(F.col("tag").contains("("), F.concat(F.lit("artist:"), F.regexp_extract("tag", r"^([^ ]*)", 1))).otherwise(F.col("tag")).alias("tag"))
+    """Tags of which every one with a bracket carries a category prefix, which its length chooses: the tables hold none of their own."""
+    prefix = F.element_at(F.array(*(F.lit(f"{p}:") for p in ("general", "artist", "copyright", "character", "species", "invalid", "meta", "lore"))), (F.length("tag") % 8 + 1).cast("int"))
+    return tags.select("tag_id", F.when(F.col("tag").contains("("), F.concat(prefix, F.regexp_extract("tag", r"^([^ ]*)", 1))).otherwise(F.col("tag")).alias("tag"))
 
 
-_PTAGS = "WITH p AS (SELECT tag_id, CASE WHEN contains(tag, '(') THEN 'artist:' || regexp_extract(tag, '^([^ ]*)', 1) ELSE tag END AS tag FROM tags), idx AS (SELECT tag, min(tag_id) AS tag_id FROM p WHERE tag IS NOT NULL GROUP BY tag)"
+def _base(c: str) -> str:
+    return f"regexp_extract({c}, '(?s)^{_PREFIX}(.*)$', 1)"
+
+
+_PTAGS = "WITH p AS (SELECT tag_id, CASE WHEN contains(tag, '(') THEN ['general:', 'artist:', 'copyright:', 'character:', 'species:', 'invalid:', 'meta:', 'lore:'][length(tag) % 8 + 1] || regexp_extract(tag, '^([^ ]*)', 1) ELSE tag END AS tag FROM tags), idx AS (SELECT tag, min(tag_id) AS tag_id FROM p WHERE tag IS NOT NULL GROUP BY tag)"
 
 
 @query(
     _PTAGS
     + f""", r AS (SELECT DISTINCT s.tag_id, s.format_id, s.alias, s.preferred_tag_id, o.tag AS own, t.tag AS target FROM tag_status s
- LEFT JOIN p o ON o.tag_id = s.tag_id AND o.tag LIKE 'artist:%' LEFT JOIN p t ON t.tag_id = s.preferred_tag_id AND t.tag LIKE 'artist:%' WHERE s.format_id <> 2 AND (o.tag IS NOT NULL OR t.tag IS NOT NULL)),
- f AS (SELECT r.*, i.tag_id AS base_id FROM (SELECT *, coalesce(nullif({_strip('substr(target, 8)')}, ''), nullif({_strip('substr(own, 8)')}, '')) AS base FROM r) r LEFT JOIN idx i ON i.tag = r.base)
+ LEFT JOIN p o ON o.tag_id = s.tag_id AND regexp_matches(o.tag, '^{_PREFIX}') LEFT JOIN p t ON t.tag_id = s.preferred_tag_id AND regexp_matches(t.tag, '^{_PREFIX}') WHERE s.format_id <> 2 AND (o.tag IS NOT NULL OR t.tag IS NOT NULL)),
+ f AS (SELECT r.*, i.tag_id AS base_id FROM (SELECT *, coalesce(nullif({_strip(_base('target'))}, ''), nullif({_strip(_base('own'))}, '')) AS base FROM r) r LEFT JOIN idx i ON i.tag = r.base)
  SELECT tag_id, format_id, CAST(CASE WHEN base_id IS NULL THEN alias WHEN base_id = tag_id THEN 0 ELSE 1 END AS INT) AS alias, coalesce(base_id, preferred_tag_id) AS preferred_tag_id,
  CASE WHEN base_id IS NULL THEN 'base_tag_not_found' ELSE 'prefix_to_base' END AS reason FROM f
  WHERE base_id IS NULL OR (CASE WHEN base_id = tag_id THEN 0 ELSE 1 END) <> alias OR base_id <> preferred_tag_id"""
@@ -376,13 +382,24 @@ def prefix_to_base(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     _PTAGS
-    + f""", c AS (SELECT tag_id, tag, nullif({_strip('substr(tag, 8)')}, '') AS new_tag FROM p WHERE tag LIKE 'artist:%')
+    + f""", c AS (SELECT tag_id, tag, nullif({_strip(_base('tag'))}, '') AS new_tag FROM p WHERE regexp_matches(tag, '^{_PREFIX}'))
  SELECT min(tag_id) AS tag_id, arg_min(tag, tag_id) AS tag, new_tag FROM c WHERE new_tag IS NOT NULL AND new_tag NOT IN (SELECT tag FROM p WHERE tag IS NOT NULL) GROUP BY new_tag"""
 )
 def rename_orphans(spark: SparkSession, d: str) -> DataFrame:
     return repair.rename_orphans(_prefixed(load(spark, d, "tags")))
 
 
+@query(
+    _PTAGS
+    + f""", c AS (SELECT tag_id, nullif({_strip(_base('tag'))}, '') AS new_tag FROM p WHERE regexp_matches(tag, '^{_PREFIX}')),
+ w AS (SELECT min(tag_id) AS tag_id, new_tag FROM c WHERE new_tag IS NOT NULL AND new_tag NOT IN (SELECT tag FROM p WHERE tag IS NOT NULL) GROUP BY new_tag)
+ SELECT p.tag_id, coalesce(w.new_tag, p.tag) AS tag FROM p LEFT JOIN w USING (tag_id)"""
+)
+def renamed_tags(spark: SparkSession, d: str) -> DataFrame:
+    """The tags after the renaming of orphan prefixed ones."""
+    return repair.rename_to_base(_prefixed(load(spark, d, "tags")))[0]
+
+
 _REMAP = "WITH f AS (SELECT tag, min(tag_id) AS canonical_id FROM tags WHERE tag IS NOT NULL GROUP BY tag), m AS (SELECT t.tag_id, f.canonical_id FROM tags t JOIN f USING (tag) WHERE t.tag_id <> f.canonical_id)"
 
 
@@ -423,7 +440,8 @@ def placeholder_repair(spark: SparkSession, d: str) -> DataFrame:
 # --- views and reports -----------------------------------------------------------
 
 _NOW = "now AS (SELECT * FROM tag_status QUALIFY row_number() OVER (PARTITION BY tag_id, format_id ORDER BY updated_at DESC NULLS LAST, created_at DESC NULLS LAST, type_id DESC, alias DESC, preferred_tag_id DESC, deprecated DESC) = 1)"
-_KINDS = "kinds(type_name_id, type_name) AS (VALUES " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(views.TYPE_NAMES)) + ")"
+_KINDS = "kinds(type_name_id, type_name) AS (VALUES " + """(0, 'unknown'), (1, 'general'), (2, 'artist'), (3, 'copyright'), (4, 'character'), (5, 'species'), (6, 'invalid'), (7, 'meta'), (8, 'lore'), (9, 'oc'),
+ (10, 'rating'), (11, 'body-type'), (12, 'origin'), (13, 'error'), (14, 'spoiler'), (15, 'content-official'), (16, 'content-fanmade'), (17, 'contributor'), (18, 'organization'), (19, 'deprecated'))"""
 
 
 @query(
@@ -447,6 +465,21 @@ def alias_view(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: F.array_join(c, "\x1f") for c in ("aliases", "lang_ja", "lang_zh")})
 
 
+@query(
+    _PTAGS.replace("WITH p", f"WITH {_NOW}, p", 1)
+    + f""", f AS (SELECT n.tag_id, n.format_id, n.type_id, n.alias, n.preferred_tag_id, CASE WHEN n.format_id <> 2 THEN coalesce(nullif({_strip(_base('t.tag'))}, ''), nullif({_strip(_base('o.tag'))}, '')) END AS base
+ FROM now n LEFT JOIN p o ON o.tag_id = n.tag_id LEFT JOIN p t ON t.tag_id = n.preferred_tag_id)
+ SELECT f.tag_id, f.format_id, f.type_id, CAST(CASE WHEN i.tag_id IS NULL THEN f.alias WHEN i.tag_id = f.tag_id THEN 0 ELSE 1 END AS INT) AS alias, coalesce(i.tag_id, f.preferred_tag_id) AS preferred_tag_id
+ FROM f LEFT JOIN idx i ON i.tag = f.base"""
+)
+def turned_status(spark: SparkSession, d: str) -> DataFrame:
+    """The status rows after those of prefixed tags were turned to the tags without prefix."""
+    tags, status = _t(spark, d, "tags", "tag_status")
+    tags = _prefixed(tags)
+    now = views.current_status(status).select("tag_id", "format_id", "type_id", "alias", "preferred_tag_id")
+    return repair.turn_to_base(now, tags, register.tag_index(tags))[0].withColumn("alias", F.col("alias").cast("int"))
+
+
 def _total(name: str, rest: str) -> str:
     return f"SELECT '{name}' AS metric, count(*) AS value FROM {rest}"
 
@@ -573,7 +606,7 @@ def stored_conflicts(spark: SparkSession, d: str) -> DataFrame:
 @query(
     _PTAGS
     + """ SELECT DISTINCT s.tag_id, s.format_id, a.tag, b.tag AS preferred_tag FROM tag_status s JOIN p a ON a.tag_id = s.tag_id JOIN p b ON b.tag_id = s.preferred_tag_id
- WHERE s.alias = 1 AND b.tag ILIKE 'artist:%' AND NOT a.tag ILIKE 'artist:%'"""
+ WHERE s.alias = 1 AND regexp_matches(b.tag, '(?i)^(artist|meta):') AND NOT regexp_matches(a.tag, '(?i)^(artist|meta):')"""
 )
 def prefix_inversions(spark: SparkSession, d: str) -> DataFrame:
     tags, status = _t(spark, d, "tags", "tag_status")
