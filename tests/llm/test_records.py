@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.llm import queries
 from tagloom.llm.copies import copies, copy_groups
 from tagloom.llm.groups import components, tag_groups
-from tagloom.llm.survivor import claims, fuse, survivors
+from tagloom.llm.survivor import COPY_PRIOR, COPY_RATE, FALSE_VALUES, SETTLED, START_ACCURACY, claims, fuse, survivors
 from tests.oracle import compare
 
 TAGS = "tag_id long, source_tag string, tag string, created_at timestamp, updated_at timestamp, canon string, text string"
@@ -89,6 +90,66 @@ def test_copied_votes_only_are_discounted(spark):
     assert out == pytest.approx({("same", "x"): 3.0 + 2.0 * (1 - COPY_RATE * 0.9), ("same", "y"): 2.0, ("other", "z"): 3.0, ("other", "x"): 2.0, ("alone", "x"): 2.0})
 
 
+def sequential_fusion(rows):
+    """The same estimates one claim after another."""
+    groups = defaultdict(lambda: defaultdict(dict))
+    for canon, source, value, n in rows:
+        groups[canon][value][source] = n
+    sources = sorted({s for _, s, _, _ in rows})
+    accuracy, copies_of = dict.fromkeys(sources, START_ACCURACY), {}
+    for _ in range(20):
+        p, total, count = {}, Counter(), Counter()
+        for canon, values in groups.items():
+            score = {}
+            for value, told in values.items():
+                score[value] = sum(
+                    math.log(FALSE_VALUES * accuracy[s] / (1 - accuracy[s])) * math.prod(1 - COPY_RATE * copies_of.get(s, {}).get(o, 0.0) for o in told if o != s) for s in told
+                )
+            top = max(score.values())
+            mass = sum(math.exp(x - top) for x in score.values())
+            for value, told in values.items():
+                p[canon, value] = math.exp(score[value] - top) / mass
+                for s, n in told.items():
+                    total[s] += p[canon, value] * n
+                    count[s] += n
+        before, accuracy = accuracy, {s: max(0.05, min(0.95, total[s] / count[s])) for s in sources}
+        if max(abs(accuracy[s] - before[s]) for s in sources) < SETTLED:
+            break
+        copies_of = {}
+        for i, a in enumerate(sources):
+            for b in sources[i + 1 :]:
+                kinds = Counter()
+                for canon, values in groups.items():
+                    lead = {x: max((told[x], p[canon, v], v) for v, told in values.items() if x in told) for x in (a, b) if any(x in told for told in values.values())}
+                    if len(lead) == 2:
+                        kinds["differ" if lead[a][2] != lead[b][2] else "true" if lead[a][1] >= 0.5 else "false"] += 1
+                if not kinds:
+                    continue
+                x, y, c = accuracy[a], accuracy[b], COPY_RATE
+                true, false, origin = x * y, (1 - x) * (1 - y) / FALSE_VALUES, max(x, y)
+                ratio = kinds["true"] * math.log((origin * c + true * (1 - c)) / true) + kinds["false"] * math.log(((1 - origin) * c + false * (1 - c)) / false) + kinds["differ"] * math.log(1 - c)
+                odds = math.exp(max(-50, min(50, ratio))) * COPY_PRIOR / (1 - COPY_PRIOR)
+                copier, original = (a, b) if x < y else (b, a)
+                copies_of.setdefault(copier, {})[original] = odds / (1 + odds)
+    return {canon: max((p[canon, v], v) for v in values) for canon, values in groups.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fusion_against_a_sequential_one(spark, seed):
+    random.seed(seed)
+    rows = {}
+    for g in range(60):
+        for source in range(5):
+            for _ in range(random.randint(0, 2)):
+                rows[f"g{g}", source, random.choice(["x", "y", "z"] if g % 3 else ["x"])] = random.randint(1, 3)
+    rows = [(*k, n) for k, n in rows.items()]
+    want = sequential_fusion(rows)
+    got = {r["canon"]: (r["probability"], r["value"]) for r in fuse(spark.createDataFrame(rows, "canon string, source long, value string, n long")).collect()}
+    assert got.keys() == want.keys()
+    for canon, (p, value) in want.items():
+        assert got[canon][1] == value and got[canon][0] == pytest.approx(p, abs=1e-6), canon
+
+
 def test_both_fields_are_fused(spark):
     out = queries.p3_fused(spark, "/root/testdata/sf0.001")
     fields = {r["field_name"]: r["n"] for r in out.groupBy("field_name").agg(F.count("*").alias("n")).collect()}
