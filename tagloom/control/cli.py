@@ -67,7 +67,7 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> int:
     master = {"tag_formats": formats(spark), "tag_type_name": type_names(spark)}
     write_tables(tables | master, a.out)
     back = {n: spark.read.parquet(os.path.join(a.out, f"{n}.parquet")) for n in [*tables, *master]}
-    status = back["tag_status"].selectExpr("*", "cast(null as timestamp) as created_at", "cast(null as timestamp) as updated_at")
+    status = back["tag_status"]
     view = alias_view(back["tags"], status, back["tag_usage_counts"], back["tag_translations"], back["tag_formats"], back["tag_type_format_mapping"])
     write_view(view, os.path.join(a.out, "view.parquet"))
     checks = health(back["tags"], status, back["tag_usage_counts"], back["tag_translations"], back["tag_type_format_mapping"], back["tag_formats"])

@@ -24,6 +24,8 @@ from tagloom.tables import Scratch
 FIXED = ("ord", "source_tag", "format_id", "type_id", "count", "aliases", "deprecated", "source_created_at", "source_updated_at")
 TAGS = "tag_id long, source_tag string, tag string"
 STATUS = "tag_id long, format_id long, type_id long, alias int, preferred_tag_id long, deprecated int, source_created_at string"
+STAMPED_STATUS = f"{STATUS}, deprecated_at string, created_at timestamp, updated_at timestamp"
+ATTRIBUTES = ["type_id", "alias", "preferred_tag_id", "deprecated", "deprecated_at", "source_created_at"]
 USAGE = "tag_id long, format_id long, count long, source_created_at string, source_updated_at string"
 TRANSLATIONS = "translation_id long, tag_id long, language string, translation string, created_at timestamp, updated_at timestamp"
 NO_ROWS = "src int, ord long, source_tag string, format_id long, type_id long, count long, aliases array<string>, deprecated int, source_created_at string, source_updated_at string"
@@ -32,7 +34,7 @@ MAPPING = "format_id long, type_id long, type_name_id long, description string"
 #: What the four repairs did, in their order.
 REPORTS = ("missing_type_format_mapping_repairs", "non_e621_prefix_repairs", "prefix_tag_renames", "placeholder_repairs")
 #: The tables that a build adds to.
-BASE = {"tags": TAGS, "tag_status": STATUS, "tag_usage_counts": USAGE, "tag_translations": TRANSLATIONS, "tag_type_format_mapping": MAPPING}
+BASE = {"tags": TAGS, "tag_status": STAMPED_STATUS, "tag_usage_counts": USAGE, "tag_translations": TRANSLATIONS, "tag_type_format_mapping": MAPPING}
 
 
 def in_schema(spark: SparkSession, df: DataFrame | None, schema: str) -> DataFrame:
@@ -52,7 +54,7 @@ def changes_by_source(status: DataFrame, usage: DataFrame, order: list[str]) ->
     ``status`` and ``usage`` hold all rows with their ``src`` and order. A key is
     a (tag, format), which few sources show and each few times.
     """
-    attributes = F.struct("type_id", "alias", "preferred_tag_id", "deprecated", "source_created_at")
+    attributes = F.struct(*ATTRIBUTES)
     before = Window.partitionBy("tag_id", "format_id").orderBy(*order)
     changed = status.withColumn("_a", attributes).withColumn("_was", F.lag("_a").over(before)).where(F.col("_was").isNull() | ~F.col("_a").eqNullSafe(F.col("_was")))
     earlier = Window.partitionBy("tag_id", "format_id").orderBy("src", "ord").rowsBetween(Window.unboundedPreceding, -1)
@@ -60,6 +62,16 @@ def changes_by_source(status: DataFrame, usage: DataFrame, order: list[str]) ->
     return changed.select("src").unionByName(raised.select("src")).groupBy("src").agg(F.count("*").alias("changes"))
 
 
+def with_stamps(status: DataFrame, before: DataFrame) -> DataFrame:
+    """Rows that were there keep ``created_at``, and ``updated_at`` unless an attribute changed; the others are of now."""
+    key, now = ["tag_id", "format_id"], F.current_timestamp()
+    old = before.groupBy(*key).agg(F.max(F.struct("updated_at", "created_at", *ATTRIBUTES)).alias("_was"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_was.{c}")) for c in ATTRIBUTES))
+    there = F.col("_was").isNotNull()
+    created, updated = F.when(there, F.col("_was.created_at")).otherwise(now), F.when(there & same, F.col("_was.updated_at")).otherwise(now)
+    return status.join(old, key, "left").select(*status.columns, created.alias("created_at"), updated.alias("updated_at"))
+
+
 def build(
     spark: SparkSession, root: str, base: dict[str, DataFrame] | None = None, include=None, exclude=None, overrides: DataFrame | None = None, translations_of: dict[str, Callable[[], DataFrame]] | None = None
 ) -> dict[str, DataFrame]:
@@ -132,13 +144,14 @@ def build(
     index = tag_index(tags)
     # pass two
     known = every.withColumn("tag", normalize_tag(F.col("source_tag"))).join(index, "tag").withColumnRenamed("tag_id", "canonical")
-    canon = known.select("src", "ord", F.lit(0).alias("pos"), "format_id", F.col("canonical").alias("tag_id"), F.col("canonical").alias("preferred_tag_id"), F.lit(0).alias("alias"), "type_id", "deprecated", "source_created_at")
+    canon = known.select("src", "ord", F.lit(0).alias("pos"), "format_id", F.col("canonical").alias("tag_id"), F.col("canonical").alias("preferred_tag_id"), F.lit(0).alias("alias"), "type_id", "deprecated", F.lit(None).cast("string").alias("deprecated_at"), "source_created_at")
     spread = known.select("src", "ord", "format_id", "canonical", "type_id", F.posexplode("aliases").alias("pos", "name")).withColumn("tag", normalize_tag(F.col("name"))).join(index, "tag").where("tag_id <> canonical")
-    aliased = spread.select("src", "ord", (F.col("pos") + 1).alias("pos"), "format_id", "tag_id", F.col("canonical").alias("preferred_tag_id"), F.lit(1).alias("alias"), "type_id", F.lit(1).alias("deprecated"), F.lit(None).cast("string").alias("source_created_at"))
+    aliased = spread.select("src", "ord", (F.col("pos") + 1).alias("pos"), "format_id", "tag_id", F.col("canonical").alias("preferred_tag_id"), F.lit(1).alias("alias"), "type_id", F.lit(1).alias("deprecated"), F.lit(None).cast("string").alias("deprecated_at"), F.lit(None).cast("string").alias("source_created_at"))
     first = [F.lit(-1).alias("src"), F.lit(-1).cast("long").alias("ord")]
     was = held["tag_status"].select(*first, F.lit(0).alias("pos"), *[c for c in canon.columns if c not in ("src", "ord", "pos")])
     every_status = scratch.put(was.unionByName(canon).unionByName(aliased))
-    status = last_wins(every_status, ["tag_id", "format_id"], ["src", "ord", "pos"], ["type_id", "alias", "preferred_tag_id", "deprecated", "source_created_at"])
+    status = last_wins(every_status, ["tag_id", "format_id"], ["src", "ord", "pos"], ATTRIBUTES)
+    status = with_stamps(status, held["tag_status"])
     counted = known.select("src", "ord", F.col("canonical").alias("tag_id"), "format_id", "count", "source_created_at", "source_updated_at")
     every_usage = scratch.put(held["tag_usage_counts"].select(*first, "*").unionByName(counted))
     usage = greatest_wins(every_usage, ["tag_id", "format_id"], "count", ["src", "ord"], ["source_created_at", "source_updated_at"])

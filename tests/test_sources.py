@@ -346,3 +346,18 @@ def test_commands(spark, tmp_path):
         assert cli.run_report(spark, cli.arguments().parse_args([name, "--tables", str(tmp_path / "o"), "--out", str(tmp_path / "r")])) == 0
         assert os.path.isdir(tmp_path / "r" / report)
     assert status.count() == 2
+
+
+def test_status_keeps_its_stamps(spark, tmp_path):
+    import datetime as dt
+
+    database(tmp_path / "s" / "yande.re" / "tags.sqlite", {"tags": ("name TEXT, count INTEGER, type INTEGER", [("a", 3, 0), ("b", 2, 1), ("c", 1, 0)])})
+    t = dt.datetime(2020, 1, 1)
+    base = {
+        "tags": spark.createDataFrame([(1, "a", "a"), (2, "b", "b"), (3, "z", "z")], "tag_id long, source_tag string, tag string"),
+        "tag_status": spark.createDataFrame([(1, 16, 0, 0, 1, 0, None, t, t), (2, 16, 5, 0, 2, 0, None, t, t), (3, 1, 0, 0, 3, 1, "then", t, t)], "tag_id long, format_id long, type_id long, alias int, preferred_tag_id long, deprecated int, deprecated_at string, created_at timestamp, updated_at timestamp"),
+    }
+    out = {r["tag_id"]: r for r in build(spark, str(tmp_path / "s"), base)["tag_status"].collect()}
+    assert (out[1]["created_at"], out[1]["updated_at"]) == (t, t)  # nothing changed
+    assert out[2]["created_at"] == t and out[2]["updated_at"] > t and out[2]["type_id"] == 1
+    assert (out[3]["deprecated_at"], out[3]["updated_at"]) == ("then", t) and out[4]["created_at"] > t
